@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import neardup
+from . import fingerprint, linedup, mixing, neardup, packing, pii, quality, sharding, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +22,84 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text; labels of held-out ids are never read by the fit."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    held_out = F.coalesce(toxicity.folded(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens and their places in sequences."""
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform shuffle into 24 shards whose row counts differ by one at most."""
+    out = sharding.shard(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "partition")
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup deletes: doc_id, n_lines, n_deleted, deleted_lines (numbers from 0, comma-separated), text_sha256."""
+    out = linedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.array_join(F.transform("_deleted_lines", lambda x: x.cast("string")), ",")
+    return out.select(
+        "doc_id",
+        F.col("_n_lines").cast("long").alias("n_lines"),
+        F.size("_deleted_lines").cast("long").alias("n_deleted"),
+        gone.alias("deleted_lines"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+#: Fixed by the query's contract.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on every page's url; mined rules are learnt from given rules and labels."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    mined = urlrules.mine(urlrules.training(pages, read(spark, sf_dir, "labels"), URL_RULES))
+    out = urlrules.judge(pages, URL_RULES, mined)
+    return out.select("page_id", "host", "path", "rule", "verdict", F.array_join("tokens", " ").alias("mined_rule"), "confidence")
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated sampling: doc_id, tokens, topic, probability, sampled."""
+    out = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return out.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.col("_probability").alias("probability"), F.col("_sampled").alias("sampled"))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consistent weighted sampling of texts and edited texts."""
+    out = fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint.as_text(F.col("fingerprint")).alias("fingerprint"), fingerprint.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of line-first cleaning."""
+    out = quality.quality(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "lines_failed")
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudonymised texts and how many of each kind were replaced."""
+    out = pii.pseudonymize(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [F.size(F.filter("_pii", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", "text", *kinds)
+
+
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity 0.85: doc_id, n_shingles, component_id, kept."""
