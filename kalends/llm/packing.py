@@ -16,6 +16,7 @@ task) and look their place up in the runs.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +26,16 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-CAPACITY, GROUPS, SMALL = 2048, 48, 16
+CAPACITY, GROUPS = 2048, 96
+#: Large is what exceeds the capacity divided by one of these; the one that needs the fewest sequences is taken.
+CUTS = (2, 3, 4, 8)
 #: Pieces numbered by one task; sets the number of salts.
 NUMBERED = 20_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _encoder(path: str | None, cache: int = 300_000):
+def _encoder(path: str | None, cache: int = 600_000):
     """Text to little-endian 32-bit ids. White space ends every token of this vocabulary, so each distinct run of
     other bytes is encoded once while the cache holds it."""
     from tokenizers import Tokenizer
@@ -51,8 +54,10 @@ def _encoder(path: str | None, cache: int = 300_000):
             if len(known) > cache:
                 known.clear()
             new = list(set(words).difference(known))
-            for w, e in zip(new, tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            for k in range(0, len(new), 20_000):
+                part = new[k : k + 20_000]
+                for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
+                    known[w] = array("I", e.ids).tobytes()
             return b"".join(map(known.__getitem__, words))
 
     return encode
@@ -137,9 +142,15 @@ def _take(queue: list[list[int]], n: int) -> list[list[int]]:
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[list[int], int]]:
     """Runs (lengths in a sequence, number of such sequences) that hold exactly the pieces of ``histogram``."""
+    plans = (_plan(histogram, capacity, groups, capacity // cut) for cut in CUTS)
+    return min(plans, key=lambda runs: sum(times for _, times in runs))
+
+
+def _plan(histogram: dict[int, int], capacity: int, groups: int, small: int) -> list[tuple[list[int], int]]:
+    """The scheme with lengths over ``small`` as the large ones."""
     runs = [([capacity], histogram[capacity])] if histogram.get(capacity) else []
     left = {s: n for s, n in histogram.items() if s < capacity and n}
-    large = sorted((s for s in left if s > capacity // SMALL), reverse=True)
+    large = sorted((s for s in left if s > small), reverse=True)
     total = sum(left[s] for s in large)
     share = max(1, -(-total // groups))
     queues: list[list[list[int]]] = []
@@ -187,7 +198,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
         for s, n in q:
             rest[s] = rest.get(s, 0) + n
     for s, n in left.items():
-        if s <= capacity // SMALL:
+        if s <= small:
             rest[s] = rest.get(s, 0) + n
     for s in sorted(rest, reverse=True):
         n = rest[s]
