@@ -7,39 +7,386 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kalends.config import FAMILY_PRIORITY
+from kalends.functions import geo, ids, prices, text
+from kalends.operators import classify, feed, gates, graph, liveness, merge, resolve, select
+from kalends.plans.listing import LISTING_SQL, SOURCES, listing, table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None):
-    """Register a query and, where SQL can express it, its oracle."""
+def query(oracle: str | None = None):
+    """Register a query under its function's name and, where SQL can express it, its oracle."""
 
     def add(f):
-        QUERIES[name] = f
+        QUERIES[f.__name__] = f
         if oracle:
-            ORACLE[name] = oracle
+            ORACLE[f.__name__] = oracle
         return f
 
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query(
-    "nightlife_daily",
-    """SELECT strftime(CASE WHEN hour(ts + INTERVAL 1 HOUR) < 6 THEN CAST(ts + INTERVAL 1 HOUR AS DATE) - 1
-              ELSE CAST(ts + INTERVAL 1 HOUR AS DATE) END, '%Y-%m-%d') AS nightlife_date,
-              event_type AS category, count(*) AS n_listings
-       FROM events GROUP BY ALL""",
-)
-def nightlife_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings per nightlife date and category: a start before 06:00 local belongs to the evening before."""
-    local = F.col("ts") + F.expr("INTERVAL 1 HOUR")
-    night = F.when(F.hour(local) < 6, F.date_sub(F.to_date(local), 1)).otherwise(F.to_date(local))
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy(F.date_format(night, "yyyy-MM-dd").alias("nightlife_date"), F.col("event_type").alias("category"))
-        .agg(F.count("*").alias("n_listings"))
+def day(c) -> F.Column:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+# Aggregates and the feed
+
+
+@query(f"WITH {LISTING_SQL} SELECT strftime(nightlife_date, '%Y-%m-%d') AS nightlife_date, category, count(*) AS n_listings FROM ev GROUP BY ALL")
+def nightlife_daily(spark, sf):
+    """Listings per nightlife date and category: a start before 06:00 belongs to the evening before."""
+    return listing(spark, sf).groupBy(day("nightlife_date").alias("nightlife_date"), "category").agg(F.count("*").alias("n_listings"))
+
+
+WINDOW = "nightlife_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' AND canonical_id = event_id AND category <> 'click'"
+
+
+def windowed(spark, sf, *dims):
+    return listing(spark, sf, *dims).where("nightlife_date between date'2024-01-08' and date'2024-01-21' and canonical_id = event_id and category <> 'click'")
+
+
+@query(f"WITH {LISTING_SQL} SELECT event_id, source, title, venue, strftime(start_utc, '%Y-%m-%dT%H:%M:%SZ') AS starts_at_utc FROM listing WHERE {WINDOW} ORDER BY starts_at_utc, event_id")
+def feed_window(spark, sf):
+    rows = windowed(spark, sf, "title", "venue")
+    return rows.select("event_id", "source", "title", "venue", F.date_format("start_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("starts_at_utc")).orderBy("starts_at_utc", "event_id")
+
+
+@query(f"WITH {LISTING_SQL} SELECT strftime(nightlife_date, '%Y-%m-%d') AS nightlife_date, count(DISTINCT user_id) AS n_events FROM ev WHERE {WINDOW} GROUP BY 1 ORDER BY 1")
+def manifest_days(spark, sf):
+    return windowed(spark, sf).groupBy(day("nightlife_date").alias("nightlife_date")).agg(F.countDistinct("user_id").alias("n_events")).orderBy("nightlife_date")
+
+
+@query(f"WITH {LISTING_SQL} SELECT category, count(DISTINCT user_id) AS n_events, count(*) AS n_rows FROM ev WHERE {WINDOW} GROUP BY 1 ORDER BY 2 DESC, 1")
+def manifest_categories(spark, sf):
+    return windowed(spark, sf).groupBy("category").agg(F.countDistinct("user_id").alias("n_events"), F.count("*").alias("n_rows")).orderBy(F.desc("n_events"), "category")
+
+
+@query("SELECT l_orderkey AS event_id, count(*) AS n_slots, strftime(min(l_shipdate), '%Y-%m-%d') AS first_slot, strftime(max(l_shipdate), '%Y-%m-%d') AS last_slot, string_agg(strftime(l_shipdate, '%Y-%m-%d') || '/' || l_linenumber, ' ' ORDER BY l_shipdate, l_linenumber) AS slots FROM lineitem GROUP BY 1")
+def occurrences_per_event(spark, sf):
+    """Slots of an event, in order; an event's slots are few."""
+    slots = F.array_sort(F.collect_list(F.struct("l_shipdate", "l_linenumber")))
+    named = F.array_join(F.transform(slots, lambda x: F.concat(F.date_format(x["l_shipdate"], "yyyy-MM-dd"), F.lit("/"), x["l_linenumber"].cast("string"))), " ")
+    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("event_id")).agg(F.count("*").alias("n_slots"), day(F.min("l_shipdate")).alias("first_slot"), day(F.max("l_shipdate")).alias("last_slot"), named.alias("slots"))
+
+
+@query(f"WITH {LISTING_SQL} SELECT source, count(*) AS n_rows, count(*) FILTER (category = 'purchase') AS n_purchase, count(DISTINCT title) AS n_titles FROM listing GROUP BY 1")
+def source_counts(spark, sf):
+    """Counts of every known source, those without rows included."""
+    counts = listing(spark, sf, "title").groupBy("source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("category") == "purchase").alias("n_purchase"), F.countDistinct("title").alias("n_titles"))
+    known = spark.createDataFrame([(s,) for s in SOURCES], "source string")
+    return known.join(counts, "source", "left").select("source", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_rows", "n_purchase", "n_titles"))).where("n_rows > 0")
+
+
+# Retention
+
+
+@query("SELECT o_orderkey AS event_id, strftime(coalesce(max(l_shipdate), max(o_orderdate)), '%Y-%m-%d') AS last_date FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1 HAVING coalesce(max(l_shipdate), max(o_orderdate)) < DATE '1996-06-13'")
+def last_occurrence_retention(spark, sf):
+    events = table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("last_seen_at"))
+    occurrences = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.to_date("l_shipdate").alias("nightlife_date"))
+    return merge.last_occurrence(events, occurrences).where("last_date < date'1996-06-13'").select("event_id", day("last_date").alias("last_date"))
+
+
+@query("SELECT 'events' AS tbl, count(*) AS n FROM orders WHERE o_orderkey % 7 <> 0 UNION ALL SELECT 'occurrences', count(*) FROM lineitem WHERE l_orderkey % 7 <> 0 UNION ALL SELECT 'aliases', count(*) FROM orders WHERE o_orderkey % 7 <> 0 AND (o_orderkey // 2) % 7 <> 0")
+def cascade_delete(spark, sf):
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id"))
+    tables = {
+        "events": orders,
+        "occurrences": table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("event_id"), "l_linenumber"),
+        "aliases": orders.select(F.col("event_id").alias("alias_id"), F.expr("event_id div 2").alias("canonical_id")),
+    }
+    out = merge.cascade(tables, orders.where("event_id % 7 = 0"))
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "n") for name, df in out.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Clusters and heads
+
+
+@query(f"WITH {LISTING_SQL} SELECT canonical_id AS event_id, count(*) AS n FROM ev WHERE canonical_id <> event_id GROUP BY 1")
+def incumbents(spark, sf):
+    return resolve.incumbents(listing(spark, sf))
+
+
+RANK_SQL = "coalesce(list_position({0!r}, source), 100) - 1".format(SOURCES)
+
+
+@query(f"WITH {LISTING_SQL}, m AS (SELECT e.*, coalesce(i.n, 0) AS n FROM (SELECT * REPLACE (event_id - event_id % 2 AS canonical_id) FROM ev) e LEFT JOIN (SELECT event_id - event_id % 2 AS id, count(*) AS n FROM ev WHERE event_id % 2 <> 0 AND event_id % 5 = 0 GROUP BY 1) i ON i.id = e.event_id) SELECT event_id // 4 AS cluster, event_id AS head FROM m QUALIFY row_number() OVER (PARTITION BY event_id // 4 ORDER BY n DESC, {RANK_SQL}, event_id) = 1")
+def head_pick(spark, sf):
+    """Heads of clusters of four: incumbents first, then the source's priority, then the id."""
+    ev = listing(spark, sf)
+    standing = ev.where("event_id % 5 = 0").withColumn("canonical_id", F.expr("event_id - event_id % 2"))
+    ranked = ev.join(resolve.incumbents(standing), "event_id", "left").withColumn("cluster", F.expr("event_id div 4"))
+    return ranked.groupBy("cluster").agg(F.min_by("event_id", F.struct(-F.coalesce("n", F.lit(0)), resolve.priority(F.col("source")), "event_id")).alias("head"))
+
+
+@query(f"WITH {LISTING_SQL} SELECT event_id // 6 AS head, first(CASE WHEN event_id % 4 = 0 THEN url END ORDER BY {RANK_SQL}, event_id) FILTER (event_id % 4 = 0) AS image_url, first(user_id ORDER BY {RANK_SQL}, event_id) FILTER (event_id % 3 = 0) AS venue_id FROM listing GROUP BY 1")
+def fill_head(spark, sf):
+    """The first member that has a value gives it, each field on its own."""
+    rows = listing(spark, sf, "url").withColumn("head", F.expr("event_id div 6"))
+    rank = F.struct(resolve.priority(F.col("source")), "event_id")
+    return rows.groupBy("head").agg(F.min_by(F.when(F.expr("event_id % 4 = 0"), F.col("url")), F.when(F.expr("event_id % 4 = 0"), rank)).alias("image_url"), F.min_by(F.when(F.expr("event_id % 3 = 0"), F.col("user_id")), F.when(F.expr("event_id % 3 = 0"), rank)).alias("venue_id"))
+
+
+PAIRS_SQL = f"{LISTING_SQL}, edges AS (SELECT DISTINCT a.event_id AS u, b.event_id AS v FROM listing a JOIN listing b ON a.nightlife_date = b.nightlife_date AND a.title = b.title AND a.event_id < b.event_id)"
+
+
+def same_night_title(spark, sf):
+    """Edges to the first of each night and title: linear in the group, with the components of all pairs."""
+    rows = listing(spark, sf, "title").select("event_id", "nightlife_date", "title")
+    first = rows.groupBy("nightlife_date", "title").agg(F.min("event_id").alias("u"), F.count("*").alias("n")).where("n > 1")
+    return rows.join(first, ["nightlife_date", "title"]).where("event_id <> u").select("u", F.col("event_id").alias("v"), "n")
+
+
+@query(f"WITH {PAIRS_SQL} SELECT a.event_id AS v, min(e.u) AS u, count(*) AS n_links FROM listing a JOIN (SELECT u, v FROM edges UNION ALL SELECT v, u FROM edges) e ON e.v = a.event_id GROUP BY 1")
+def dedup_pairs_exact(spark, sf):
+    """Listings of one night with equal titles: each with the smallest partner and the number of its links."""
+    rows = listing(spark, sf, "title").select("event_id", "nightlife_date", "title")
+    group = rows.groupBy("nightlife_date", "title").agg(F.min("event_id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    second = rows.join(group, ["nightlife_date", "title"]).where("event_id <> a").groupBy("nightlife_date", "title").agg(F.min("event_id").alias("b"))
+    joined = rows.join(group, ["nightlife_date", "title"]).join(second, ["nightlife_date", "title"])
+    return joined.select(F.col("event_id").alias("v"), F.when(F.col("event_id") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("u"), (F.col("n") - 1).alias("n_links"))
+
+
+@query(f"WITH {LISTING_SQL} SELECT event_id, min(event_id) OVER (PARTITION BY nightlife_date, title) AS component FROM listing QUALIFY count(*) OVER (PARTITION BY nightlife_date, title) > 1")
+def dedup_components(spark, sf):
+    """Connected components of same-night, same-title links."""
+    return graph.components(same_night_title(spark, sf).select("u", "v")).select(F.col("node").alias("event_id"), "component")
+
+
+@query()
+def dedup_fuzzy(spark, sf):
+    """The full match rule over listings as events."""
+    rows = listing(spark, sf, "title", "venue")
+    events = rows.select("event_id", "source", "title", F.col("venue").alias("venue_name"), F.lit(None).cast("string").alias("venue_id"), "lat", "lon", F.lit(False).alias("is_range"))
+    slots = rows.select("event_id", "nightlife_date", F.date_format("start_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("starts_at_utc"))
+    found = resolve.pairs(resolve.candidates(events, slots, F.lit("2024-01-01").cast("date")))
+    return found.where("matched or near_miss").groupBy("u").agg(F.count_if("matched").alias("n_matched"), F.count_if("near_miss").alias("n_near"))
+
+
+# Fetch policy
+
+
+@query("SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (PARTITION BY regexp_extract(url, '://([^/?#]*)', 1) ORDER BY page_id) AS r FROM pages) WHERE r <= 3 ORDER BY page_id LIMIT 100")
+def host_budget_select(spark, sf):
+    """At most three of a host and a hundred in all, by number."""
+    pages = table(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", "://([^/?#]*)", 1).alias("host"))
+    return select.budgeted(pages, "host", [F.col("page_id")], 100, 3).select("page_id", "url")
+
+
+STATUS = "CASE event_type WHEN 'click' THEN 403 WHEN 'view' THEN 200 WHEN 'purchase' THEN 404 WHEN 'signup' THEN 429 ELSE 500 END"
+
+
+def requests(spark, sf):
+    return table(spark, sf, "events").select("event_id", (F.col("user_id") % 20).alias("host"), F.expr(STATUS).alias("status")).withColumn("kind", select.outcome(F.col("status")))
+
+
+REQUESTS_SQL = f"r AS (SELECT event_id, user_id % 20 AS host, {STATUS} AS status, CASE WHEN {STATUS} BETWEEN 200 AND 399 THEN 'ok' WHEN {STATUS} IN (403, 405, 429, 451) THEN 'blocked' ELSE 'other' END AS kind FROM events)"
+
+
+@query(f"WITH {REQUESTS_SQL}, a AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY event_id) AS n, sum(CASE WHEN kind = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY event_id) AS k FROM r), b AS (SELECT *, sum(CASE WHEN kind = 'blocked' THEN 1 ELSE 0 END) OVER (PARTITION BY host, k ORDER BY event_id) AS streak FROM a) SELECT host, min(n) AS tripped_at FROM b WHERE kind = 'blocked' AND streak >= 4 GROUP BY 1")
+def breaker_trip(spark, sf):
+    return select.trips(requests(spark, sf), "host", [F.col("event_id")], "kind", 4)
+
+
+@query(f"WITH {REQUESTS_SQL} SELECT host, count(*) FILTER (kind = 'ok') AS n_ok, count(*) FILTER (kind = 'blocked') AS n_blocked, count(*) FILTER (kind = 'other') AS n_other, count(*) FILTER (kind = 'blocked') > 0 AND count(*) FILTER (kind = 'ok') = 0 AS is_blocked FROM r GROUP BY 1")
+def outcome_health(spark, sf):
+    return select.source_health(requests(spark, sf), "host", "kind")
+
+
+@query("SELECT url, last_checked_at FROM (SELECT DISTINCT p.url, strftime(c.t, '%Y-%m-%d %H:%M:%S') AS last_checked_at, c.t FROM pages p LEFT JOIN (SELECT page_id, url, (SELECT min(ts) FROM events) + to_days(CAST(page_id % 20 AS INTEGER)) AS t FROM pages WHERE page_id % 3 <> 0) c ON c.url = p.url) WHERE t IS NULL OR t < (SELECT min(ts) FROM events) + INTERVAL 10 DAY")
+def due_checks(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    start = table(spark, sf, "events").agg(F.min("ts")).first()[0]  # one moment
+    checks = pages.where("page_id % 3 <> 0").select("url", (F.lit(start) + F.make_dt_interval((F.col("page_id") % 20).cast("int"))).cast("timestamp_ntz").alias("last_checked_at"))
+    before = (F.lit(start) + F.expr("INTERVAL 10 DAYS")).cast("timestamp_ntz")
+    return select.due(pages, checks, before).distinct().select("url", F.date_format("last_checked_at", "yyyy-MM-dd HH:mm:ss").alias("last_checked_at"))
+
+
+@query("SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority LIKE '1%') AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority LIKE '5%')")
+def exists_not_exists(spark, sf):
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    customers = table(spark, sf, "customer").select("c_custkey")
+    return customers.join(orders.where("o_orderpriority like '1%'"), "c_custkey", "left_semi").join(orders.where("o_orderpriority like '5%'"), "c_custkey", "left_anti")
+
+
+# Urls and takedowns
+
+
+HOST_SQL = "lower(regexp_extract(url, '://([^/?#:]*)', 1))"
+DENIED = ["example.org", "spam-farm.example.com", "cheap-pills.example.net"]
+UNDER_SQL = "(" + " OR ".join(f"{HOST_SQL} = '{d}' OR {HOST_SQL} LIKE '%.{d}'" for d in DENIED) + ")"
+
+
+@query(f"SELECT page_id, {UNDER_SQL} AS denied FROM pages")
+def denied_hosts(spark, sf):
+    return table(spark, sf, "pages").select("page_id", text.under(text.hostname(F.col("url")), DENIED).alias("denied"))
+
+
+@query(f"SELECT page_id, {HOST_SQL} AS host, regexp_matches(url, '^https?://') AND {HOST_SQL} LIKE '%.%' AND NOT ({HOST_SQL} = 'example.net' OR {HOST_SQL} LIKE '%.example.net') AS external FROM pages")
+def external_link(spark, sf):
+    url = F.col("url")
+    return table(spark, sf, "pages").select("page_id", text.hostname(url).alias("host"), text.has_external_link(url, ["example.net"]).alias("external"))
+
+
+@query(f"WITH p AS (SELECT page_id, url, rtrim(lower(trim(url)), '/') AS u, {HOST_SQL} AS host, p_name FROM pages JOIN part ON p_partkey = page_id % (SELECT max(p_partkey) + 1 FROM part)) SELECT page_id, CASE WHEN page_id IN (1, 5, 9) THEN 'events' WHEN u LIKE 'http://ths%' OR u LIKE 'https://www.%' THEN 'urls' WHEN host = 'example.org' OR host LIKE '%.example.org' THEN 'domains' WHEN contains(lower(p_name), 'blue') THEN 'titles' END AS rule FROM p")
+def suppression_match(spark, sf):
+    pages, part = table(spark, sf, "pages").select("page_id", "url"), table(spark, sf, "part")
+    n = part.agg(F.max("p_partkey") + 1).first()[0]
+    rows = pages.withColumn("p_partkey", F.col("page_id") % n).join(part.select("p_partkey", "p_name"), "p_partkey")
+    lists = gates.rules({"events": ["1::x", "5", {"value": "9"}], "urls": ["http://ths*", "https://www.*"], "domains": [".example.org"], "titles": ["Blue"]})
+    return rows.select("page_id", gates.suppressed_by(lists, F.array(F.col("page_id").cast("string")), F.col("url"), F.lit(None).cast("string"), F.col("p_name")).alias("rule"))
+
+
+# Ids and hashes
+
+
+@query("SELECT page_id, substr(sha1(url), 1, 12) AS series, substr(sha1(url), 1, 8) AS h FROM pages")
+def series_key(spark, sf):
+    return table(spark, sf, "pages").select("page_id", ids.series_key(F.col("url"), F.col("page_id").cast("string")).alias("series"), ids.short_hash(F.col("url")).alias("h"))
+
+
+@query(f"WITH {LISTING_SQL}, h AS (SELECT event_id, '00' || array_to_string(list_transform(string_split(substr(sha256(source || chr(0) || event_id), 1, 32), ''), c -> lpad(bin(CAST(instr('0123456789abcdef', c) - 1 AS INTEGER)), 4, '0')), '') AS bits FROM ev) SELECT event_id, 'evt_' || array_to_string(list_transform(range(26), k -> substr('{ids.ALPHABET}', 1 + 16 * CAST(substr(bits, CAST(5 * k + 1 AS INTEGER), 1) AS INTEGER) + 8 * CAST(substr(bits, CAST(5 * k + 2 AS INTEGER), 1) AS INTEGER) + 4 * CAST(substr(bits, CAST(5 * k + 3 AS INTEGER), 1) AS INTEGER) + 2 * CAST(substr(bits, CAST(5 * k + 4 AS INTEGER), 1) AS INTEGER) + CAST(substr(bits, CAST(5 * k + 5 AS INTEGER), 1) AS INTEGER), 1)), '') AS id FROM h")
+def event_ids(spark, sf):
+    return listing(spark, sf).select("event_id", ids.event_id(F.col("source"), F.col("event_id").cast("string")).alias("id"))
+
+
+@query("SELECT event_id, CAST('0x' || substr(sha1(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 99991 AS lock FROM events")
+def placeholder_lock(spark, sf):
+    return table(spark, sf, "events").select("event_id", ids.placeholder_lock(F.col("event_id").cast("string")).alias("lock"))
+
+
+# Texts
+
+
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM documents")
+def norm_text(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.norm_ascii(F.col("text")).alias("norm"))
+
+
+@query()
+def redact_contacts(spark, sf):
+    out = text.redact_contacts(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", out["text"].alias("text"), out["removals"].alias("removals"))
+
+
+@query("SELECT conv_id, turn, regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]*[A-Za-z]') AS has_address FROM conversations")
+def contact_rows(spark, sf):
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").rlike(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z]").alias("has_address"))
+
+
+#: Families over the words of part names, so that the oracle needs no look-ahead.
+TEST_FAMILIES = {"comedy": ["blue", "red"], "film_cinema": ["gr[ae]y", "steel|tin"], "food_drink": ["nickel", r"brass\b"], "live_music": ["small", "promo"]}
+_COUNT = {c: f"len(regexp_extract_all(lower(title), '{'|'.join(p)}'))" for c, p in TEST_FAMILIES.items()}
+_BEST = "CASE " + " ".join(f"WHEN n_{c} = greatest({', '.join(f'n_{x}' for x in _COUNT)}) AND n_{c} > 0 THEN '{c}'" for c in sorted(TEST_FAMILIES, key=FAMILY_PRIORITY.index)) + " END"
+
+
+@query(f"WITH {LISTING_SQL}, c AS (SELECT event_id, {', '.join(f'{e} AS n_{c}' for c, e in _COUNT.items())} FROM listing) SELECT event_id, {_BEST} AS category, CASE {' + '.join(f'CAST(n_{c} > 0 AS INTEGER)' for c in _COUNT)} WHEN 0 THEN NULL WHEN 1 THEN 'keyword' ELSE 'keyword_multi' END AS tier FROM c")
+def keyword_classify(spark, sf):
+    none = F.lit(None).cast("string")
+    found = classify.classify(F.col("title"), none, none, none, none, none, families=TEST_FAMILIES)
+    return listing(spark, sf, "title").select("event_id", found["category"].alias("category"), found["tier"].alias("tier"))
+
+
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'free' WHEN 1 THEN 'fixed' WHEN 2 THEN 'from' WHEN 3 THEN 'range' ELSE 'donation' END AS type, CASE event_id % 5 WHEN 0 THEN 0.0 WHEN 4 THEN 0.0 ELSE CAST(1 + user_id % 90 AS DOUBLE) END AS low, CASE event_id % 5 WHEN 0 THEN 0.0 WHEN 1 THEN CAST(1 + user_id % 90 AS DOUBLE) WHEN 3 THEN 5.5 + user_id % 90 END AS high, event_id % 10 = 1 AS sold_out FROM events")
+def price_parse(spark, sf):
+    n = (F.lit(1) + F.col("user_id") % 90).cast("string")
+    words = (
+        F.when(F.expr("event_id % 5 = 0"), F.lit("Eintritt frei"))
+        .when(F.expr("event_id % 10 = 1"), F.concat(n, F.lit(" € (ausverkauft)")))
+        .when(F.expr("event_id % 5 = 1"), F.concat(F.lit("€ "), n))
+        .when(F.expr("event_id % 5 = 2"), F.concat(F.lit("ab "), n, F.lit(",00 Euro")))
+        .when(F.expr("event_id % 5 = 3"), F.concat((F.lit(5) + F.col("user_id") % 90).cast("string"), F.lit(",5–"), n, F.lit(" €")))
+        .otherwise(F.lit("auf Spendenbasis, 3 Termine"))
     )
+    p = prices.parse_price(words)
+    return table(spark, sf, "events").select("event_id", p["type"].alias("type"), p["min"].alias("low"), p["max"].alias("high"), p["sold_out"].alias("sold_out"))
+
+
+# Places
+
+
+@query(f"WITH {LISTING_SQL} SELECT event_id, CASE WHEN lat BETWEEN 52.30 AND 52.70 AND lon BETWEEN 12.90 AND 13.80 THEN round(lat, 4) END AS lat, CASE WHEN value > 500 THEN 'unknown' ELSE 'fixed' END AS type FROM ev")
+def geo_sanity(spark, sf):
+    none = F.lit(None).cast("double")
+    price = F.struct(F.col("value").alias("min"), F.col("value").alias("max"), none.alias("presale"), none.alias("door"), none.alias("reduced"), F.lit("fixed").alias("type"))
+    out = gates.sane(listing(spark, sf).withColumn("price", price), "berlin")
+    return out.select("event_id", F.round("lat", 4).alias("lat"), F.col("price.type").alias("type"))
+
+
+@query(f"WITH {LISTING_SQL}, p AS (SELECT DISTINCT user_id % 1000 AS place, lat, lon FROM ev) SELECT a.place AS a, b.place AS b, CAST(round(2 * 6371000 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS BIGINT) AS metres FROM p a JOIN p b ON a.place < b.place WHERE 2 * 6371000 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) <= 250")
+def geo_pairs(spark, sf):
+    """Places within 250 m of each other, met through shared squares."""
+    places = listing(spark, sf).select((F.col("user_id") % 1000).alias("place"), "lat", "lon").distinct()
+    keyed = places.withColumn("_cell", F.explode(resolve._cells()))
+    met = keyed.alias("a").join(keyed.alias("b"), (F.col("a._cell") == F.col("b._cell")) & (F.col("a.place") < F.col("b.place")))
+    metres = geo.haversine_m(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
+    return met.select(F.col("a.place").alias("a"), F.col("b.place").alias("b"), metres.alias("m")).distinct().where("m <= 250").select("a", "b", F.round("m").cast("long").alias("metres"))
+
+
+# Merging
+
+
+@query("SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'new' WHEN n.doc_id IS NULL THEN 'absent' WHEN sha256(o.t) = sha256(n.t) THEN 'same' ELSE 'changed' END AS change FROM (SELECT doc_id, text AS t FROM documents WHERE doc_id % 3 <> 0) o FULL JOIN (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END AS t FROM documents WHERE doc_id % 4 <> 0) n ON n.doc_id = o.doc_id")
+def content_hash_cdc(spark, sf):
+    """What a run changes: by key, by the hash of what counts."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    hashed = lambda d: d.select("doc_id", ids.content_hash(F.col("text")).alias("h"))
+    old = hashed(docs.where("doc_id % 3 <> 0")).withColumnRenamed("h", "o")
+    new = hashed(docs.where("doc_id % 4 <> 0").withColumn("text", F.when(F.expr("doc_id % 5 = 0"), F.concat("text", F.lit("!"))).otherwise(F.col("text")))).withColumnRenamed("h", "n")
+    change = F.when(F.col("o").isNull(), "new").when(F.col("n").isNull(), "absent").when(F.col("o") == F.col("n"), "same").otherwise("changed")
+    return old.join(new, "doc_id", "full_outer").select("doc_id", change.alias("change"))
+
+
+@query("SELECT coalesce(o.url, n.url) AS url, coalesce(n.etag, o.etag) AS etag, coalesce(n.last_status, o.last_status) AS last_status, coalesce(o.first_seen, n.first_seen) AS first_seen FROM (SELECT url, min('o' || page_id) AS etag, CAST(200 AS INTEGER) AS last_status, 1 AS first_seen FROM pages WHERE page_id % 3 <> 0 GROUP BY 1) o FULL JOIN (SELECT url, min(CASE WHEN page_id % 2 = 0 THEN 'n' || page_id END) AS etag, CAST(304 AS INTEGER) AS last_status, 2 AS first_seen FROM pages WHERE page_id % 4 <> 0 GROUP BY 1) n ON n.url = o.url")
+def ledger_merge(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    tag = lambda p: F.concat(F.lit(p), F.col("page_id").cast("string"))
+    old = pages.where("page_id % 3 <> 0").groupBy("url").agg(F.min(tag("o")).alias("etag")).select("url", "etag", F.lit(200).alias("last_status"), F.lit(1).alias("first_seen"))
+    new = pages.where("page_id % 4 <> 0").groupBy("url").agg(F.min(F.when(F.expr("page_id % 2 = 0"), tag("n"))).alias("etag")).select("url", "etag", F.lit(304).alias("last_status"), F.lit(2).alias("first_seen"))
+    return merge.coalesce_merge(old, new, ["url"], "first_seen")
+
+
+@query("SELECT key, since_s, since_s < 1000000 - 172800 AS expired FROM (SELECT 'k' || page_id AS key, CASE WHEN page_id % 3 = 0 THEN page_id * 5000 ELSE 1000000 END AS since_s FROM pages WHERE page_id % 2 = 0)")
+def delist_ledger(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", F.concat(F.lit("k"), F.col("page_id").cast("string")).alias("key"))
+    ledger = pages.where("page_id % 3 = 0").select("key", (F.col("page_id") * 5000).alias("since_s"))
+    return feed.delisted(ledger, pages, pages.where("page_id % 2 = 1"), F.lit(1000000).cast("long"))
+
+
+@query(f"WITH {LISTING_SQL}, d AS (SELECT *, event_id - event_id % 5 AS c, user_id % 3 = 0 AS dead FROM ev), h AS (SELECT c FROM d WHERE event_id = c AND dead), b AS (SELECT c, event_id AS head FROM d WHERE NOT dead AND c IN (SELECT c FROM h) QUALIFY row_number() OVER (PARTITION BY c ORDER BY {RANK_SQL}, event_id) = 1) SELECT d.event_id, coalesce(b.head, d.c) AS canonical_id FROM d LEFT JOIN b ON b.c = d.c")
+def promote_survivors(spark, sf):
+    rows = listing(spark, sf).withColumn("canonical_id", F.expr("event_id - event_id % 5")).withColumn("link_dead_at", F.when(F.expr("user_id % 3 = 0"), F.col("start_utc")))
+    return liveness.promote(rows).select("event_id", "canonical_id")
+
+
+@query()
+def strike_state(spark, sf):
+    """Strikes of each user's link after all its probes, in order."""
+    ev = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("url"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("checked_s"), F.col("event_id").alias("n"), F.expr("CASE event_type WHEN 'click' THEN 404 WHEN 'view' THEN 410 WHEN 'purchase' THEN 200 ELSE 503 END").alias("status"))
+    empty = spark.createDataFrame([], "url string, strikes int, last_status int, last_checked_s long, last_strike_s long")
+    return liveness.fold_probes(empty, ev)
+
+
+@query("SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS plain FROM pages")
+def page_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]*>", " "), r"\s+", " ")).alias("plain"))
+
+
+@query("SELECT alias_id, CASE WHEN alias_id % 7 = 0 THEN alias_id - 7 ELSE CASE WHEN (alias_id // 10 * 10) % 7 = 0 THEN alias_id // 10 * 10 - 7 ELSE alias_id // 10 * 10 END END AS canonical_id FROM (SELECT o_orderkey AS alias_id FROM orders WHERE o_orderkey % 10 <> 0 OR o_orderkey % 7 = 0) ")
+def alias_repoint(spark, sf):
+    """Aliases after a merge whose losers are the multiples of seven: one hop is enough for any of them."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("alias_id"))
+    aliases = orders.where("alias_id % 10 <> 0").select("alias_id", F.expr("alias_id div 10 * 10").alias("canonical_id"), F.lit(1).alias("noted_at"))
+    members = orders.where("alias_id % 7 = 0").select(F.col("alias_id").alias("event_id"), (F.col("alias_id") - 7).alias("head"))
+    return resolve.repoint_aliases(aliases, members, F.lit(2)).select("alias_id", "canonical_id")
+
+
+@query("SELECT p.page_id, coalesce(p.url, '') AS url FROM pages p LEFT JOIN (SELECT url, max(page_id % 3) AS m FROM pages WHERE page_id % 4 <> 0 GROUP BY 1) l ON l.url = p.url WHERE l.url IS NULL OR l.m <> p.page_id % 2")
+def changed_pages(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    ledger = pages.where("page_id % 4 <> 0").groupBy("url").agg(F.max(F.expr("page_id % 3")).alias("lastmod"))
+    return merge.changed_pages(pages.withColumn("lastmod", F.expr("page_id % 2")), ledger).select("page_id", F.coalesce("url", F.lit("")).alias("url"))
