@@ -249,7 +249,7 @@ def series_key(spark, sf):
     return table(spark, sf, "pages").select("page_id", ids.series_key(F.col("url"), F.col("page_id").cast("string")).alias("series"), ids.short_hash(F.col("url")).alias("h"))
 
 
-@query(f"WITH {LISTING_SQL}, h AS (SELECT event_id, '00' || array_to_string(list_transform(string_split(substr(sha256(source || chr(0) || event_id), 1, 32), ''), c -> lpad(bin(CAST(instr('0123456789abcdef', c) - 1 AS INTEGER)), 4, '0')), '') AS bits FROM ev) SELECT event_id, 'evt_' || array_to_string(list_transform(range(26), k -> substr('{ids.ALPHABET}', 1 + 16 * CAST(substr(bits, CAST(5 * k + 1 AS INTEGER), 1) AS INTEGER) + 8 * CAST(substr(bits, CAST(5 * k + 2 AS INTEGER), 1) AS INTEGER) + 4 * CAST(substr(bits, CAST(5 * k + 3 AS INTEGER), 1) AS INTEGER) + 2 * CAST(substr(bits, CAST(5 * k + 4 AS INTEGER), 1) AS INTEGER) + CAST(substr(bits, CAST(5 * k + 5 AS INTEGER), 1) AS INTEGER), 1)), '') AS id FROM h")
+@query(f"WITH {LISTING_SQL}, h AS (SELECT event_id, '00' || array_to_string(list_transform(string_split(substr(sha256(source || chr(0) || event_id), 1, 32), ''), lambda c: lpad(bin(CAST(instr('0123456789abcdef', c) - 1 AS INTEGER)), 4, '0')), '') AS bits FROM ev) SELECT event_id, 'evt_' || array_to_string(list_transform(range(26), lambda k: substr('{ids.ALPHABET}', 1 + 16 * CAST(substr(bits, CAST(5 * k + 1 AS INTEGER), 1) AS INTEGER) + 8 * CAST(substr(bits, CAST(5 * k + 2 AS INTEGER), 1) AS INTEGER) + 4 * CAST(substr(bits, CAST(5 * k + 3 AS INTEGER), 1) AS INTEGER) + 2 * CAST(substr(bits, CAST(5 * k + 4 AS INTEGER), 1) AS INTEGER) + CAST(substr(bits, CAST(5 * k + 5 AS INTEGER), 1) AS INTEGER), 1)), '') AS id FROM h")
 def event_ids(spark, sf):
     return listing(spark, sf).select("event_id", ids.event_id(F.col("source"), F.col("event_id").cast("string")).alias("id"))
 
