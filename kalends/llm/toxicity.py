@@ -253,9 +253,11 @@ def worst(p: dict, words: Words, texts: list[str | None], some: int = 400_000) -
     return out
 
 
-def train(texts: list[str], labels: list[int], seed: int = SEED, epochs: int = EPOCHS) -> dict:
+def train(texts: list[str], labels: list[int], seed: int = SEED, epochs: int | None = None) -> dict:
     """Fit the network to labelled texts: {"p", "index", "a", "b"}; the score is sigmoid(a * worst logit + b)."""
     rng = np.random.default_rng(seed)
+    # as many updates for a small sample as for a full one, within reason
+    epochs = epochs or min(5 * EPOCHS, max(EPOCHS, 2 * SAMPLE * EPOCHS // len(texts)))
     tokens = [t.split() for t in texts]
     kinds = sorted({w for t in tokens for w in t})
     place = {w: k for k, w in enumerate(kinds)}
