@@ -33,7 +33,8 @@ def weighed(docs: DataFrame) -> DataFrame:
     split = docs.withColumn("_trimmed", trimmed).withColumn("_words", F.when(F.col("_trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("_trimmed", BLANKS)))
     long = F.filter("_words", lambda x: F.char_length(x) > 5)
     classes = split.withColumn("_tokens", F.size("_words").cast("long")).withColumn("_classes", F.transform(long, lambda x: F.pmod(F.xxhash64(F.lower(x)), F.lit(TOPICS)).cast("int")))
-    counts = F.array(*(F.struct(F.size(F.filter("_classes", lambda x, k=k: x == k)).alias("n"), F.lit(-k).alias("k")) for k in range(TOPICS)))
+    held = lambda k: F.size(F.filter("_classes", lambda x: x == k))
+    counts = F.array(*(F.struct(held(k).alias("n"), F.lit(-k).alias("k")) for k in range(TOPICS)))
     out = classes.withColumn("_topic", -F.array_max(counts)["k"])
     return out.select(*docs.columns, "_tokens", F.coalesce("source", F.lit("")).alias("_source"), F.coalesce("lang", F.lit("")).alias("_lang"), "_topic")
 

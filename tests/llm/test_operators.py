@@ -324,6 +324,16 @@ def test_mixing_samples_to_targets(spark):
     assert abs(sum(r.source == "big" for r in got) / len(got) - 0.5) < 0.03 and abs(sum(r.lang == "de" for r in got) / len(got) - 0.25) < 0.03
 
 
+def test_topics_are_the_most_frequent_class(spark):
+    words = [f"longword{k}" for k in range(60)]
+    of = {w: t for w, t in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", f"cast(pmod(xxhash64(lower(w)), {mixing.TOPICS}) as int)").collect()}
+    rng = np.random.default_rng(2)
+    rows = [(k, " ".join(rng.choice(words, 9)) + " tiny Tiny") for k in range(40)] + [(90, "no such w"), (91, None)]
+    for r in mixing.mix(frame(spark, rows)).collect():
+        n = Counter(of[w] for w in (r.text or "").split() if w in of)
+        assert r._topic == (min(n, key=lambda t: (-n[t], t)) if n else 0) and r._tokens == len((r.text or "").split())
+
+
 def test_mixing_odd_rows(spark):
     docs = frame(spark, ODD).withColumn("source", F.when(F.col("doc_id") > 5, F.col("source"))).withColumn("lang", F.lit(None).cast("string"))
     got = mixing.mix(docs).collect()
