@@ -29,9 +29,10 @@ def candidates(events: DataFrame, occurrences: DataFrame, as_of: Column) -> Data
 def pairs(slots: DataFrame) -> DataFrame:
     """(u, v, title_score, venue_score, matched, near_miss) of slots of one night that could match or nearly do.
 
-    Built-in predicates decide all they can first; Python compares only titles that share a token or a place. Titles
-    without a common token score under the near-miss band unless their letters happen to agree, so a pair needs a
-    common token, or the same place and time; nights meet on (night, token), never as a whole."""
+    Pairs meet on (night, token of the title), (night, venue) or (night, square of the map), never on the night as a
+    whole, so titles that are alike by their letters alone, without a common token or place, are not compared. Built-in
+    predicates then drop pairs whose titles cannot reach the near-miss band and that share no place; Python scores the
+    rest. Returns these pairs only."""
     tokens = slots.withColumn("_keys", F.array_distinct(F.concat(F.transform(F.split("t", " "), lambda x: F.concat(F.lit("t:"), x)), F.when(F.col("venue_id").isNotNull(), F.array(F.concat(F.lit("v:"), F.col("venue_id")))).otherwise(F.array().cast("array<string>")), _cells())))
     keyed = tokens.select("event_id", "nightlife_date", "start_s", F.explode("_keys").alias("_key"))
     a, b = keyed.alias("a"), keyed.alias("b")
@@ -49,14 +50,29 @@ def _cells() -> Column:
     return F.when(there, F.array(*(cell(dx, dy) for dx in (0, 1) for dy in (0, 1)))).otherwise(F.array().cast("array<string>"))
 
 
+def _title_bound() -> Column:
+    """What the titles' similarity cannot exceed, by built-in functions: edits with replacement are never more than
+    insertions and deletions."""
+    words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda x: x != "")
+    u, v = words("u_t"), words("v_t")
+    shared, left, right = F.array_intersect(u, v), F.array_except(u, v), F.array_except(v, u)
+    line = lambda *xs: F.array_join(F.concat(*map(F.array_sort, xs)), " ")
+    s, one, two = line(shared), line(shared, left), line(shared, right)
+    n = F.char_length
+    whole = 100 - 100 * F.levenshtein(one, two) / F.greatest(n(one) + n(two), F.lit(1))
+    part = lambda x: F.when(n(s) > 0, 200 * n(s) / (n(s) + n(x))).otherwise(0.0)
+    return F.when((F.size(shared) > 0) & ((F.size(left) == 0) | (F.size(right) == 0)), 100.0).otherwise(F.greatest(whole, part(one), part(two)))
+
+
 def _scored(full: DataFrame) -> DataFrame:
     placed = F.lit(True)
     for c in ("u_lat", "u_lon", "v_lat", "v_lon"):
         placed = placed & (F.coalesce(F.col(c), F.lit(0.0)) != 0)  # zero counts as missing
     metres = F.when(placed, geo.haversine_m(F.col("u_lat"), F.col("u_lon"), F.col("v_lat"), F.col("v_lon")))
     same_venue = F.coalesce((F.col("u_venue_id") != "") & (F.col("u_venue_id") == F.col("v_venue_id")), F.lit(False))
-    scored = full.withColumns({"title_score": text.token_set_similarity(F.col("u_t"), F.col("v_t")), "venue_score": text.token_set_similarity(F.col("u_v"), F.col("v_v")), "metres": metres, "same_venue": same_venue})
     close = lambda m: F.coalesce(F.col("metres") <= m, F.lit(False))
+    full = full.withColumns({"metres": metres, "same_venue": same_venue}).where((_title_bound() >= NEAR) | F.col("same_venue") | close(TIGHT_M))
+    scored = full.withColumns({"title_score": text.token_set_similarity(F.col("u_t"), F.col("v_t")), "venue_score": text.token_set_similarity(F.col("u_v"), F.col("v_v"))})
     matched = ((F.col("title_score") >= TITLE) & ((F.col("venue_score") >= VENUE) | F.col("same_venue") | close(CLOSE_M))) | ((F.col("same_venue") | close(TIGHT_M)) & (F.abs(F.col("us") - F.col("vs")) <= CLOSE_S))
     near_miss = ~F.col("matched") & (F.col("title_score") >= NEAR) & (F.col("title_score") < TITLE) & (F.col("u_source") != F.col("v_source"))
     return scored.withColumn("matched", matched).withColumn("near_miss", near_miss).select("u", "v", "title_score", "venue_score", "matched", "near_miss")
