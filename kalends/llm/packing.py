@@ -35,11 +35,14 @@ NUMBERED = 20_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _encoder(path: str | None, cache: int = 600_000):
+def _encoder(path: str | None, cache: int = 300_000):
     """Text to little-endian 32-bit ids. White space ends every token of this vocabulary, so each distinct run of
     other bytes is encoded once while the cache holds it."""
+    import os
+
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's own threads only spin on it
     if path is None:
         import public_tokenizers
 
