@@ -29,13 +29,15 @@ from .common import materialize
 CAPACITY, GROUPS = 2048, 96
 #: Large is what exceeds the capacity divided by one of these; the one that needs the fewest sequences is taken.
 CUTS = (2, 3, 4, 8)
+#: Documents whose new words are encoded at once.
+BLOCK = 256
 #: Pieces numbered by one task; sets the number of salts.
 NUMBERED = 20_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _encoder(path: str | None, cache: int = 300_000):
+def _encoder(path: str | None, cache: int = 400_000):
     """Text to little-endian 32-bit ids. White space ends every token of this vocabulary, so each distinct run of
     other bytes is encoded once while the cache holds it."""
     import os
@@ -48,20 +50,25 @@ def _encoder(path: str | None, cache: int = 300_000):
 
         path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer, known = Tokenizer.from_file(path), {}
-
-    def encode(text: bytes | None) -> bytes:
-        words = text.split() if text else []
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > cache:
-                known.clear()
-            new = list(set(words).difference(known))
-            for k in range(0, len(new), 20_000):
-                part = new[k : k + 20_000]
-                for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                    known[w] = array("I", e.ids).tobytes()
-            return b"".join(map(known.__getitem__, words))
+    points = {c: array("I", tokenizer.encode(c.decode(), add_special_tokens=False).ids).tobytes() for c in (b".", b",")}
+
+    def learn(new: set[bytes]) -> None:
+        """Encode unknown words; a point or comma after an ASCII letter or digit always is a token of its own."""
+        pointed = {w: w[:-1] for w in new if w[-1:] in points and w[-2:-1].isalnum()}
+        bare = list(new.difference(pointed).union(pointed.values()).difference(known))
+        for k in range(0, len(bare), 20_000):
+            part = bare[k : k + 20_000]
+            ids = [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
+            known.update(zip(part, [array("I", x).tobytes() for x in ids]))
+        known.update({w: known[c] + points[w[-1:]] for w, c in pointed.items()})
+
+    def encode(texts: list[bytes | None]) -> list[bytes]:
+        """The vocabulary is lower case; only names of special tokens are told apart by case, and they start with <|."""
+        split = [((t if b"<|" in t else t.lower()) if t else b"").split() for t in texts]
+        if len(known) > cache:
+            known.clear()
+        learn(set().union(*split).difference(known))
+        return [b"".join(map(known.__getitem__, w)) for w in split]
 
     return encode
 
@@ -71,12 +78,14 @@ def _cut(path: str | None, capacity: int, end: int, with_ids: bool):
         encode, tail = _encoder(path), np.array([end], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py()) + tail
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    for column, x in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
-                        column.append(x)
+            for k in range(0, batch.num_rows, BLOCK):
+                block = batch.slice(k, BLOCK)
+                for doc, ids in zip(block.column(0).to_pylist(), encode(block.column(1).to_pylist())):
+                    ids += tail
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        for column, x in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
+                            column.append(x)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             n = 6 if with_ids else 5

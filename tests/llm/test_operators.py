@@ -166,7 +166,7 @@ def test_packing_round_trip(spark, sf, tokenizer):
 
 
 def test_packing_odd_rows(spark, tokenizer):
-    rows = ODD + [(20, "a<|endoftext|>b <|startoftext|> 'S e\u0301 x\u00a0y ΑΣ ΑΣΑ \u0085z")]
+    rows = ODD + [(20, "a<|endoftext|>b <|startoftext|> 'S e\u0301 x\u00a0y ΑΣ ΑΣΑ \u0085z"), (21, "<|ENDOFTEXT|> A. b, C., .. , . é. E\u0301. 5. 5, İ. K. x'S. 'T, It's. ǅ, ΣΑΣ. it'LL."), (22, "The THE the. The, A.B. c.d, K\u212a, E\u0301x. E\u0301, ..a. ½. ²,")]
     check_packing(rows, packing.pack(frame(spark, rows)).collect(), tokenizer)
     assert packing.pack(frame(spark, [])).collect() == []
 
