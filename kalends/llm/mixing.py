@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS
+from .common import BLANKS, materialize
 
 TOPICS = 8
 #: Default targets: each marginal's observed share to this power, normalised.
@@ -83,7 +83,8 @@ def mix(docs: DataFrame, sources: dict | None = None, langs: dict | None = None,
     the 1,000 largest and languages past the 32 largest share one factor, so what reaches the driver is bounded.
     """
     rows = weighed(docs)
-    parts = rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("n"))
+    # written once: three small questions are asked of it, and each would read all texts again
+    parts = materialize(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("n")), "cells")
     own = [
         [r[0] for r in parts.groupBy(c).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), c).limit(most).collect()] for c, most in (("_source", OWN_SOURCES), ("_lang", OWN_LANGS))
     ]
