@@ -96,8 +96,8 @@ def _predecessors(ids: DataFrame) -> DataFrame:
 
 def _edited(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each (d, h) once with its text, its edited text and the next row's key; and the keys with their copies."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumns({"d": F.coalesce("doc_id", F.lit(-(2**63))), "h": F.xxhash64(F.col("doc_id").isNull(), "text")})
+    doc_id, content = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    base = docs.select(F.coalesce(doc_id, F.lit(-(2**63))).alias("d"), F.xxhash64(doc_id.isNull(), content).alias("h"), content.alias("text"))
     ids = base.groupBy("d", "h").agg(F.first(F.char_length("text")).alias("n"), F.count("*").alias("copies"))
     before = _predecessors(ids.select("d", "h", "n"))
     once = base.dropDuplicates(["d", "h"])
@@ -105,7 +105,9 @@ def _edited(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefix = once.join(before, ["d", "h"]).select(F.col("d").alias("next_d"), F.col("h").alias("next_h"), F.col("before_d").alias("d"), F.col("before_h").alias("h"), start.alias("prefix"))
     n = F.char_length("text")
     edited = F.concat(F.substring("text", F.lit(1), (n - F.expr("char_length(text) div 3")).cast("int")), F.col("prefix"))
-    return once.join(prefix, ["d", "h"]).select("doc_id", "d", "h", "next_d", "next_h", n.cast("long").alias("n_chars"), "text", edited.alias("edited_text")), ids
+    # Both sides read the same columns of `once`, so that one exchange of the texts serves both.
+    is_null = (F.col("d") == -(2**63)) & (F.col("h") == F.xxhash64(F.lit(True), "text"))
+    return once.join(prefix, ["d", "h"]).select(F.when(~is_null, F.col("d")).alias("doc_id"), "d", "h", "next_d", "next_h", n.cast("long").alias("n_chars"), "text", edited.alias("edited_text")), ids
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
