@@ -364,6 +364,22 @@ def test_fingerprints_estimate_generalised_jaccard(spark, sf):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
+def test_fingerprints_of_skewed_and_short_texts(spark):
+    """Similarity of pairs of texts, without the zeros of other documents: heavy terms, few terms."""
+    light = lambda k, n: [f"{k}a{j} {k}b{j}" for j in range(n)]
+    cases = []
+    for k in range(12):
+        heavy = f"x{k} " * 501
+        cases += [(heavy + " ".join(light(f"p{k}", 64)), heavy + " ".join(light(f"q{k}", 64)))]
+        cases += [(heavy + " ".join(light(f"p{k}", 64)), f"x{k} x{k} " + " ".join(light(f"p{k}", 64)))]
+        cases += [(f"s{k} t{k}", f"s{k} t{k} u{k}"), (f"s{k} t{k} u{k} v{k}", f"s{k} t{k} u{k} w{k}")]
+    rows = [(2 * n + side, c[side]) for n, c in enumerate(cases) for side in (0, 1)]
+    got = {r.doc_id: r.f for r in fingerprint.with_fingerprint(frame(spark, rows).select("doc_id", "text"), "text", "f").collect()}
+    assert all(len(f) == 128 for f in got.values())
+    errors = np.array([np.mean(np.array(got[2 * n]) == got[2 * n + 1]) - jaccard(*c) for n, c in enumerate(cases)]).reshape(12, 4)
+    assert np.abs(errors).max() < 0.18 and np.abs(errors.mean(axis=0)).max() < 0.05, errors
+
+
 def test_fingerprints_odd_rows(spark):
     got = fingerprint.fingerprints(frame(spark, ODD)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in ODD)
