@@ -69,7 +69,7 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on every page's url; mined rules are learnt from given rules and labels."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
-    mined = urlrules.mine(urlrules.training(pages, read(spark, sf_dir, "labels"), URL_RULES))
+    mined = urlrules.mine_table(urlrules.training(pages, read(spark, sf_dir, "labels"), URL_RULES))
     out = urlrules.judge(pages, URL_RULES, mined)
     return out.select("page_id", "host", "path", "rule", "verdict", F.array_join("tokens", " ").alias("mined_rule"), "confidence")
 

@@ -11,7 +11,10 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SUPPORT, CONFIDENCE, LIFT, TOKENS, RULES = 0.002, 0.6, 1.5, 3, 500
+from .common import materialize
+
+SUPPORT, CONFIDENCE, LIFT, TOKENS = 0.002, 0.6, 1.5, 3
+RULE = "tokens array<string>, confidence double"
 BLOCKED = "\x00block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,50 +56,54 @@ def given(rules: list[tuple[str, str, str]], h: Column, p: Column) -> Column:
     return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> list[tuple[list[str], float]]:
-    """Rules (tokens, confidence) that block, from (url, blocked boolean); at most `RULES`, the surest first.
+def mine_table(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
+    """Rules (tokens, confidence) that block, from (url, blocked boolean): all that support, confidence and lift allow,
+    but for those of which a part is a rule of at least the same confidence. Support bounds how many there are.
 
     Rows with a null url or label are left out; without rows or without a blocked one there are no rules."""
     items = labelled.where("url is not null and blocked is not null").select(F.concat(tokens(F.col("url")), F.when(F.col("blocked"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))).alias("items"), "blocked")
     items = items.where(F.size("items") > 0)
     if items.where("blocked").isEmpty():
-        return []
+        return labelled.sparkSession.createDataFrame([], RULE)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.element_at("consequent", 1) == BLOCKED).where((F.size("antecedent") <= TOKENS) & (F.col("lift") >= lift))
-    best = found.select(F.sort_array("antecedent").alias("antecedent"), "confidence").orderBy(F.desc("confidence"), F.size("antecedent"), "antecedent").limit(RULES).collect()
-    out: list[tuple[list[str], float]] = []
-    for row in best:
-        if not any(set(t) <= set(row["antecedent"]) for t, _ in out):
-            out.append((list(row["antecedent"]), row["confidence"]))
-    return out
+    rules = materialize(found.select(F.sort_array("antecedent").alias("tokens"), "confidence"), "rules")
+    part = F.expr("transform(sequence(1, shiftleft(1, size(tokens)) - 2), m -> filter(tokens, (x, i) -> shiftright(m, i) % 2 = 1))")
+    parts = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode(part).alias("part"))
+    shorter = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("least"))
+    said = parts.join(shorter, "part").where("least >= confidence").select("tokens").distinct()
+    return materialize(rules.join(said, "tokens", "left_anti").select("tokens", "confidence"), "pruned")
 
 
-def fired(rules: list[tuple[list[str], float]], found: Column) -> Column:
-    """The surest mined rule all of whose tokens are among ``found``: struct(confidence, tokens), or null.
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> list[tuple[list[str], float]]:
+    """The rules of `mine_table` as a list, the surest first."""
+    rules = mine_table(labelled, support, confidence, lift).orderBy(F.desc("confidence"), F.size("tokens"), "tokens")
+    return [(list(r["tokens"]), r["confidence"]) for r in rules.collect()]
 
-    An inverted index lists each rule under its token that the fewest rules have."""
-    if not rules:
-        return F.lit(None).cast("struct<confidence:double,tokens:array<string>>")
-    often: dict[str, int] = {}
-    for t, _ in rules:
-        for x in t:
-            often[x] = often.get(x, 0) + 1
-    by: dict[str, list] = {}
-    for t, c in rules:
-        by.setdefault(min(t, key=lambda x: (often[x], x)), []).append(F.struct(F.lit(c).alias("confidence"), F.array(*map(F.lit, t)).alias("tokens")))
-    index = F.create_map(*(x for a, v in by.items() for x in (F.lit(a), F.array(*v))))
-    candidates = F.flatten(F.filter(F.transform(found, lambda x: F.try_element_at(index, x)), lambda x: x.isNotNull()))
-    return F.array_max(F.filter(candidates, lambda r: F.size(F.array_except(r["tokens"], found)) == 0))
+
+def fired(rules: DataFrame, found: DataFrame) -> DataFrame:
+    """For each token array ``found`` in which a mined rule has all its tokens: found, fired, the surest of these rules
+    as struct(confidence, tokens).
+
+    An inverted index lists each rule under its token that the fewest rules have; urls meet it by their tokens."""
+    each = rules.select("tokens", "confidence", F.explode("tokens").alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("n"))
+    index = each.join(often, "token").groupBy("tokens", "confidence").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+    met = found.select("found", F.explode("found").alias("token")).join(F.broadcast(index), "token")  # as many rules as support allows
+    held = met.where(F.size(F.array_except("tokens", "found")) == 0)
+    return held.groupBy("found").agg(F.max(F.struct("confidence", "tokens")).alias("fired"))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: list[tuple[list[str], float]]) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame | list[tuple[list[str], float]]) -> DataFrame:
     """page_id, host, path, rule, verdict, tokens (the mined rule that fired), confidence for every row of ``pages``.
 
     The verdict is the given rule's; else block if a mined rule fires, else allow. A null url, or one without ://, has
     an empty host and path and no tokens, and is allowed. Rows are judged one by one, so null page_ids and repeated
     rows need no rule; columns other than page_id and url are ignored."""
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.coalesce(tokens(F.col("url")), F.array().cast("array<string>")).alias("found"))
-    base = base.withColumns({"given": given(rules, F.col("host"), F.col("path")), "fired": fired(mined, F.col("found"))})
+    base = base.withColumn("given", given(rules, F.col("host"), F.col("path")))
+    mined = pages.sparkSession.createDataFrame(mined, RULE) if isinstance(mined, list) else mined
+    base = base.join(fired(mined, base.select("found")), "found", "left")
     verdict = F.coalesce("given.verdict", F.when(F.col("fired").isNotNull(), "block").otherwise("allow"))
     return base.select("page_id", "host", "path", F.col("given.rule").alias("rule"), verdict.alias("verdict"), F.col("fired.tokens").alias("tokens"), F.col("fired.confidence").alias("confidence"))
 

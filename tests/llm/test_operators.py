@@ -303,6 +303,23 @@ def test_url_rules_and_mined_rules(spark):
     assert urlrules.mine(train.limit(0)) == [] and urlrules.judge(pages.limit(0), RULES, []).collect() == []
 
 
+def test_mined_rules_are_pruned_before_anything_is_left_out(spark):
+    """A sure rule with over 500 supersets of the same confidence leaves room for all others."""
+    bad = [(f"http://bad.net/w{a}x/w{b}x", True) for a in range(40) for b in range(a)]
+    good = [(f"http://fine.net/w{a}x/w{b}x", False) for a in range(40) for b in range(a)] * 2
+    less = [(f"http://fine.net/spam/{k}", k % 10 < 8) for k in range(30)] + [("http://fine.net/pair/left", True)] * 3 + [("http://fine.net/pair", False), ("http://fine.net/left", False)] * 3
+    train = spark.createDataFrame(bad + good + less, "url string, blocked boolean")
+    mined = urlrules.mine(train, 0.0003)
+    got = {tuple(t): c for t, c in mined}
+    assert got[("h:bad",)] == 1.0 and abs(got[("p:spam",)] - 0.8) < 1e-9 and got[("p:left", "p:pair")] == 1.0
+    assert not any({"h:bad"} < set(t) for t in got)
+    # `mined` by its own definition: no rule holds another of the same confidence or more
+    assert not any(set(a) < set(b) and got[a] >= got[b] for a in got for b in got)
+    pages = spark.createDataFrame([(1, "http://fine.net/spam/9"), (1, "http://fine.net/spam/9"), (2, "http://fine.net/left/pair"), (3, "http://fine.net/left"), (4, "http://bad.net/spam/")], "page_id long, url string")
+    rows = urlrules.judge(pages, [], urlrules.mine_table(train, 0.0003)).collect()
+    assert sorted((r.page_id, r.verdict, r.confidence and round(r.confidence, 9)) for r in rows) == [(1, "block", 0.8), (1, "block", 0.8), (2, "block", 1.0), (3, "allow", None), (4, "block", 1.0)]
+
+
 # op6
 
 
