@@ -17,8 +17,6 @@ TOPICS = 8
 TEMPERATURE = 0.8
 #: Sources and languages with a factor of their own; the rest share one (the driver holds the cells of these only).
 OWN_SOURCES, OWN_LANGS = 1_000, 32
-#: Share of tokens in cells whose probability may be cut to 1.
-CUT = 0.01
 SEED = 104_729
 REST = "\x00rest"
 
@@ -78,7 +76,8 @@ def mix(docs: DataFrame, sources: dict | None = None, langs: dict | None = None,
 
     Targets are shares by value; by default the observed shares of tokens to the power 0.8. Sampling keeps a document
     if the hash of (seed, doc_id, text) falls below its probability, so repeated rows share their fate. A null source
-    or language is a value of its own (the empty one); a text without words has no tokens and the probability of its
+    or language is a value of its own (the empty one). Probabilities are scaled so that the largest is 1, and none is cut:
+    the more a target raises a rare cell, the fewer documents of all others are kept. A text without words has no tokens and the probability of its
     cell, or 1 if nothing in the corpus has its source, language or topic. An empty table gives no rows. Sources past
     the 1,000 largest and languages past the 32 largest share one factor, so what reaches the driver is bounded.
     """
@@ -98,12 +97,8 @@ def mix(docs: DataFrame, sources: dict | None = None, langs: dict | None = None,
             out *= f.get(k, 1.0)
         return out
 
-    held, scale, all_tokens = 0.0, 1.0, sum(cells.values())
-    for key in sorted(cells, key=weight, reverse=True):
-        held += cells[key]
-        if held > CUT * all_tokens:
-            scale = weight(key) or 1.0
-            break
+    # the largest weight becomes 1, so that no cell is cut and the sample has the raked shares
+    scale = max((weight(key) for key, n in cells.items() if n), default=1.0) or 1.0
     maps = [F.create_map(*(F.lit(x) for kv in f.items() for x in kv)) if f else None for f in factors]
     product = F.lit(1.0 / scale)
     for m, key in zip(maps, (named[0], named[1], F.col("_topic"))):

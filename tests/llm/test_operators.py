@@ -341,6 +341,17 @@ def test_mixing_samples_to_targets(spark):
     assert abs(sum(r.source == "big" for r in got) / len(got) - 0.5) < 0.03 and abs(sum(r.lang == "de" for r in got) / len(got) - 0.25) < 0.03
 
 
+def test_mixing_raises_rare_sources_to_their_targets(spark):
+    """Expected tokens (probability times tokens) have the target shares, for a source of under 1 % of the tokens, too."""
+    rows = [(k, f"abcdefg{k} word", "en" if k % 4 else "de", "rare" if k % 125 == 0 else "big", 0) for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    share = lambda got, source: sum(r._probability * r._tokens for r in got if r.source == source) / sum(r._probability * r._tokens for r in got)
+    got = mixing.mix(docs, sources={"big": 0.8, "rare": 0.2}).collect()
+    assert max(r._probability for r in got) <= 1 and abs(share(got, "rare") - 0.2) < 1e-6
+    raw = {"rare": (48 / 6000) ** mixing.TEMPERATURE, "big": (5952 / 6000) ** mixing.TEMPERATURE}
+    assert abs(share(mixing.mix(docs).collect(), "rare") - raw["rare"] / sum(raw.values())) < 1e-6
+
+
 def test_topics_are_the_most_frequent_class(spark):
     words = [f"longword{k}" for k in range(60)]
     of = {w: t for w, t in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", f"cast(pmod(xxhash64(lower(w)), {mixing.TOPICS}) as int)").collect()}
