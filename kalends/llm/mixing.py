@@ -7,6 +7,7 @@ factors, scaled to a probability; documents are then sampled by a hash of their
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +16,11 @@ from .common import BLANKS, materialize
 TOPICS = 8
 #: Default targets: each marginal's observed share to this power, normalised.
 TEMPERATURE = 0.8
-#: Sources and languages with a factor of their own; the rest share one (the driver holds the cells of these only).
-OWN_SOURCES, OWN_LANGS = 1_000, 32
+#: Up to so many cells are raked on the driver, more as tables; every source and language has its own factor in both.
+CELLS = 100_000
+ROUNDS, TOLERANCE = 200, 1e-9
+KEYS = ("_source", "_lang", "_topic")
 SEED = 104_729
-REST = "\x00rest"
 
 
 def weighed(docs: DataFrame) -> DataFrame:
@@ -37,26 +39,27 @@ def weighed(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns, "_tokens", F.coalesce("source", F.lit("")).alias("_source"), F.coalesce("lang", F.lit("")).alias("_lang"), "_topic")
 
 
-def rake(cells: dict[tuple, float], targets: list[dict], rounds: int = 200, tolerance: float = 1e-9) -> list[dict]:
+def rake(cells: dict[tuple, float], targets: list[dict], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[dict]:
     """Factors for each marginal, so that the weighted cells have the target shares (where the cells allow it)."""
-    total = sum(cells.values()) or 1.0
-    factors = [dict.fromkeys(t, 1.0) for t in targets]
+    share = np.array(list(cells.values())) / (sum(cells.values()) or 1.0)
+    names = [list(t) for t in targets]
+    place = [{k: i for i, k in enumerate(n)} for n in names]
+    at = [np.array([p[key[axis]] for key in cells], np.int64) for axis, p in enumerate(place)]
+    want = [np.array(list(t.values()), float) for t in targets]
+    factors = [np.ones(len(t)) for t in targets]
     for _ in range(rounds):
         worst = 0.0
-        for axis, target in enumerate(targets):
-            sums = dict.fromkeys(target, 0.0)
-            for key, n in cells.items():
-                w = n / total
-                for f, k in zip(factors, key):
-                    w *= f[k]
-                sums[key[axis]] += w
-            for k, s in sums.items():
-                if s > 0:
-                    worst = max(worst, abs(s - target[k]))
-                    factors[axis][k] *= target[k] / s
+        for axis, target in enumerate(want):
+            w = share.copy()
+            for f, k in zip(factors, at):
+                w *= f[k]
+            sums = np.bincount(at[axis], w, len(target))
+            some = sums > 0
+            worst = max(worst, np.abs(sums - target)[some].max(initial=0.0))
+            factors[axis][some] *= target[some] / sums[some]
         if worst < tolerance:
             break
-    return factors
+    return [dict(zip(n, f.tolist())) for n, f in zip(names, factors)]
 
 
 def _targets(cells: dict[tuple, float], given: list[dict | None]) -> list[dict]:
@@ -71,39 +74,70 @@ def _targets(cells: dict[tuple, float], given: list[dict | None]) -> list[dict]:
     return out
 
 
+def _weights_on_driver(parts: DataFrame, given: list[dict | None]) -> DataFrame:
+    """The cells of ``parts`` with the product of their factors as _weight, over the largest of a cell with tokens."""
+    cells = {(r[0], r[1], r[2]): float(r[3]) for r in parts.select(*KEYS, "n").collect()}
+    held = {k: n for k, n in cells.items() if n}
+    factors = rake(held, _targets(held, given), ROUNDS) if held else [{}, {}, {}]
+
+    def weight(key: tuple) -> float:
+        out = 1.0
+        for f, k in zip(factors, key):
+            out *= f.get(k, 1.0)
+        return out
+
+    scale = max(map(weight, held), default=1.0) or 1.0
+    return F.broadcast(parts.sparkSession.createDataFrame([(*k, weight(k) / scale) for k in cells], "_source string, _lang string, _topic int, _weight double"))
+
+
+def _weights_as_tables(parts: DataFrame, given: list[dict | None]) -> DataFrame:
+    """The same for any number of cells: a marginal is updated by an aggregation and a join."""
+    spark = parts.sparkSession
+    total = float(parts.agg(F.sum("n")).first()[0] or 1)
+    cells = parts.select(*KEYS, (F.col("n") / total).alias("share"), *(F.lit(1.0).alias(f"f{c}") for c in KEYS))
+    product = F.lit(1.0)
+    for c in KEYS:
+        product = product * F.col(f"f{c}")
+    targets = []
+    for c, want in zip(KEYS, given):
+        sums = cells.groupBy(c).agg(F.sum("share").alias("s")).where("s > 0")
+        if want:
+            named = spark.createDataFrame(list(want.items()), f"{c} {parts.schema[c].dataType.simpleString()}, raw double")
+            raw = sums.join(F.broadcast(named), c, "left").select(c, F.coalesce("raw", F.lit(0.0)).alias("raw"))
+        else:
+            raw = sums.select(c, F.pow("s", F.lit(TEMPERATURE)).alias("raw"))
+        raw = materialize(raw, f"raw{c}")
+        targets.append(raw.select(c, (F.col("raw") / F.lit(raw.agg(F.sum("raw")).first()[0] or 1.0)).alias("target")))
+    for _ in range(ROUNDS):
+        worst = 0.0
+        for c, target in zip(KEYS, targets):
+            sums = cells.groupBy(c).agg(F.sum(F.col("share") * product).alias("s")).where("s > 0")
+            step = materialize(sums.join(target, c).select(c, (F.col("target") / F.col("s")).alias("ratio"), F.abs(F.col("s") - F.col("target")).alias("off")), f"step{c}")
+            worst = max(worst, step.agg(F.max("off")).first()[0] or 0.0)
+            cells = cells.join(step.drop("off"), c, "left").withColumn(f"f{c}", F.col(f"f{c}") * F.coalesce("ratio", F.lit(1.0))).drop("ratio")
+        cells = materialize(cells, "raked")
+        if worst < TOLERANCE:
+            break
+    scale = cells.where("share > 0").agg(F.max(product)).first()[0] or 1.0
+    return cells.select(*KEYS, (product / F.lit(scale)).alias("_weight"))
+
+
 def mix(docs: DataFrame, sources: dict | None = None, langs: dict | None = None, topics: dict | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` (doc_id, text, source, lang and any others) with _tokens, _topic, _probability and _sampled.
 
     Targets are shares by value; by default the observed shares of tokens to the power 0.8. Sampling keeps a document
     if the hash of (seed, doc_id, text) falls below its probability, so repeated rows share their fate. A null source
     or language is a value of its own (the empty one). Probabilities are scaled so that the largest is 1, and none is cut:
-    the more a target raises a rare cell, the fewer documents of all others are kept. A text without words has no tokens and the probability of its
-    cell, or 1 if nothing in the corpus has its source, language or topic. An empty table gives no rows. Sources past
-    the 1,000 largest and languages past the 32 largest share one factor, so what reaches the driver is bounded.
+    the more a target raises a rare cell, the fewer documents of all others are kept. A text without words has no tokens
+    and the probability of its cell, where a source, language or topic without tokens has factor 1. An empty table
+    gives no rows. Every source and language has a factor of its own; up to `CELLS` cells are raked on the driver, more
+    as tables.
     """
     rows = weighed(docs)
-    # written once: three small questions are asked of it, and each would read all texts again
-    parts = materialize(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("n")), "cells")
-    own = [
-        [r[0] for r in parts.groupBy(c).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), c).limit(most).collect()] for c, most in (("_source", OWN_SOURCES), ("_lang", OWN_LANGS))
-    ]
-    named = [F.when(F.col(c).isin(values), F.col(c)).otherwise(REST) if values else F.lit(REST) for c, values in zip(("_source", "_lang"), own)]
-    cells = {(r[0], r[1], r[2]): float(r[3]) for r in parts.groupBy(named[0].alias("s"), named[1].alias("l"), "_topic").agg(F.sum("n")).collect()}
-    factors = rake({k: n for k, n in cells.items() if n}, _targets({k: n for k, n in cells.items() if n}, [sources, langs, topics]))
-
-    def weight(key: tuple) -> float:
-        out = 1.0
-        for f, k in zip(factors, key):
-            out *= f.get(k, 1.0)
-        return out
-
-    # the largest weight becomes 1, so that no cell is cut and the sample has the raked shares
-    scale = max((weight(key) for key, n in cells.items() if n), default=1.0) or 1.0
-    maps = [F.create_map(*(F.lit(x) for kv in f.items() for x in kv)) if f else None for f in factors]
-    product = F.lit(1.0 / scale)
-    for m, key in zip(maps, (named[0], named[1], F.col("_topic"))):
-        if m is not None:
-            product = product * F.coalesce(F.try_element_at(m, key), F.lit(1.0))
+    # written once: several questions are asked of it, and each would read all texts again
+    parts = materialize(rows.groupBy(*KEYS).agg(F.sum("_tokens").alias("n")), "cells")
+    weights = _weights_on_driver if parts.limit(CELLS + 1).count() <= CELLS else _weights_as_tables
+    cells = weights(parts, [sources, langs, topics])
     chance = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(2**53)) / F.lit(float(2**53))).alias("u")
-    out = rows.withColumn("_probability", F.least(F.lit(1.0), product))
+    out = rows.join(cells, list(KEYS), "left").withColumn("_probability", F.least(F.lit(1.0), F.coalesce("_weight", F.lit(1.0))))
     return out.select(*docs.columns, "_tokens", "_topic", "_probability", (chance < F.col("_probability")).alias("_sampled"))

@@ -352,6 +352,27 @@ def test_mixing_raises_rare_sources_to_their_targets(spark):
     assert abs(share(mixing.mix(docs).collect(), "rare") - raw["rare"] / sum(raw.values())) < 1e-6
 
 
+def test_mixing_has_a_factor_for_every_source_and_language(spark):
+    """1,200 small sources of equal size are treated alike, so are 40 small languages; a target reaches each."""
+    rows = [(k, "word word", "en", f"s{k:04d}", 0) for k in range(1200)] + [(k, "word word", f"l{k % 40:02d}", "big", 0) for k in range(1200, 1240)] + [(2000, "word " * 40_000, "en", "big", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    by = {r.doc_id: r._probability for r in mixing.mix(docs).collect()}
+    assert len({round(by[k], 9) for k in range(1200)}) == 1 and len({round(by[k], 9) for k in range(1200, 1240)}) == 1
+    got = {r.doc_id: r for r in mixing.mix(docs, sources={"s1199": 0.1, "s0000": 0.1, "big": 0.8}).collect()}
+    whole = sum(r._probability * r._tokens for r in got.values())
+    assert all(abs(got[k]._probability * 2 / whole - 0.1) < 1e-6 for k in (0, 1199)) and got[7]._probability == 0
+
+
+def test_mixing_as_tables_equals_mixing_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 2)
+    rng = np.random.default_rng(4)
+    cells = {(f"s{rng.integers(6)}", f"l{rng.integers(3)}", int(rng.integers(3))): int(n) for n in rng.integers(0, 900, 40)} | {("void", "l0", 0): 0}
+    parts = spark.createDataFrame([(*k, n) for k, n in cells.items()], "_source string, _lang string, _topic int, n long")
+    given = [{"s0": 0.5, "s1": 0.3, "s4": 0.2}, None, None]
+    one, two = ({tuple(r[:3]): r[3] for r in f(parts, given).collect()} for f in (mixing._weights_on_driver, mixing._weights_as_tables))
+    assert one.keys() == two.keys() == cells.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
 def test_topics_are_the_most_frequent_class(spark):
     words = [f"longword{k}" for k in range(60)]
     of = {w: t for w, t in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", f"cast(pmod(xxhash64(lower(w)), {mixing.TOPICS}) as int)").collect()}
