@@ -3,7 +3,9 @@
 A word enters the network as the sum of two learned inputs: its own vector, if it is in the vocabulary of the training
 sample, and the mean vector of its character 3- and 4-grams, which also covers words never seen. Two gated recurrent
 units read a window of words in both directions, attention pools their states, and a logit comes out. A document's
-score is that of its worst window, over all overlapping windows of the whole text, calibrated on the training sample.
+score is that of its worst window of the whole text, calibrated on the training sample. A window of `WINDOW` words
+starts every `STRIDE` words and the last one ends with the text, so every passage of up to WINDOW - STRIDE + 1 words is
+whole in a window.
 
 Training is plain numpy on the driver, on at most `SAMPLE` labelled documents of each class, with the gradient of the
 network written out. A label belongs to a document and not to a window, so each epoch trains on every document's worst
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WINDOW, STRIDE = 40, 28
+WINDOW, STRIDE = 32, 12
 DIM, HIDDEN, GRAMS = 8, 8, 1 << 13
 #: The bound of the training sample: documents of each class, chosen by a hash of doc_id.
 SAMPLE = 1_000
@@ -167,7 +169,7 @@ def loss_and_gradient(p: dict, word: np.ndarray, gram_ids: np.ndarray, gram_coun
 
 
 def windows(n: int) -> np.ndarray:
-    """First words of all overlapping windows over n words; the last one ends with the text."""
+    """First words of the windows over n words, `STRIDE` words apart; the last one ends with the text."""
     if n <= WINDOW:
         return np.zeros(1, np.int64)
     at = np.arange(0, n - WINDOW, STRIDE)

@@ -549,6 +549,13 @@ def test_windows_cover_all_words():
         assert set(range(n)) <= {k for a in at for k in range(a, a + toxicity.WINDOW)} and (n <= 32 or at[-1] + 32 == n)
 
 
+def test_windows_hold_every_passage_of_half_a_window():
+    half = toxicity.WINDOW // 2
+    for n in (half, 33, 49, 100, 1001):
+        at = toxicity.windows(n)
+        assert all(((at <= k) & (k + half <= at + toxicity.WINDOW)).any() for k in range(n - half + 1))
+
+
 def toy(n, seed):
     rng = np.random.default_rng(seed)
     out = []
