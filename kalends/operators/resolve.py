@@ -29,20 +29,41 @@ def candidates(events: DataFrame, occurrences: DataFrame, as_of: Column) -> Data
 def pairs(slots: DataFrame) -> DataFrame:
     """(u, v, title_score, venue_score, matched, near_miss) of slots of one night that could match or nearly do.
 
-    Pairs meet on (night, token of the title), (night, venue) or (night, square of the map), never on the night as a
-    whole, so titles that are alike by their letters alone, without a common token or place, are not compared. Built-in
-    predicates then drop pairs whose titles cannot reach the near-miss band and that share no place; Python scores the
-    rest. Returns these pairs only."""
+    Pairs meet on (night, token of the title), (night, venue) or (night, square of the map), and by titles of one night
+    that are alike by their letters alone. Built-in predicates then drop pairs whose titles cannot reach the near-miss
+    band and that share no place; Python scores the rest. Returns these pairs only."""
     tokens = slots.withColumn("_keys", F.array_distinct(F.concat(F.transform(F.split("t", " "), lambda x: F.concat(F.lit("t:"), x)), F.when(F.col("venue_id").isNotNull(), F.array(F.concat(F.lit("v:"), F.col("venue_id")))).otherwise(F.array().cast("array<string>")), _cells())))
     keyed = tokens.select("event_id", "nightlife_date", "start_s", F.explode("_keys").alias("_key"))
     a, b = keyed.alias("a"), keyed.alias("b")
     near = (F.col("a.nightlife_date") == F.col("b.nightlife_date")) & (F.col("a._key") == F.col("b._key")) & (F.col("a.event_id") < F.col("b.event_id"))
-    met = a.join(b, near).select(F.col("a.event_id").alias("u"), F.col("b.event_id").alias("v"), F.col("a.start_s").alias("us"), F.col("b.start_s").alias("vs")).distinct()
+    met = a.join(b, near).select(F.col("a.event_id").alias("u"), F.col("b.event_id").alias("v"), F.col("a.start_s").alias("us"), F.col("b.start_s").alias("vs"))
+    met = met.unionByName(_by_letters(slots)).distinct()
     side = lambda p: slots.dropDuplicates(["event_id"]).select(F.col("event_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("source", "venue_id", "lat", "lon", "t", "v")))
     full = met.join(side("u"), "u").join(side("v"), "v")
     return _scored(full)
 
 
+def _by_letters(slots: DataFrame) -> DataFrame:
+    """(u, v, us, vs) of slots of one night whose titles could reach the near-miss band without a common token.
+
+    Without one the score is 200 * lcs / (n + m) of the sorted titles' lengths. So the longer has at most 1.5 times the
+    shorter's length, which keeps pairs within neighbouring bands of length, and edits with replacement, never more
+    than the n + m - 2 * lcs insertions and deletions, are at most a fifth of n + m. Each title of a night is compared
+    once, however many slots have it."""
+    words = F.array_sort(F.filter(F.array_distinct(F.split("t", " ")), lambda x: x != ""))
+    named = slots.select("event_id", "nightlife_date", "start_s", F.array_join(words, " ").alias("line")).where("line <> ''")
+    longest = (200 - NEAR) / NEAR
+    lines = named.select("nightlife_date", "line", F.char_length("line").alias("n")).distinct().withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(longest))))
+    b = lines.select("nightlife_date", F.col("line").alias("other"), F.col("n").alias("m"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    edits = f"levenshtein(line, other, cast(floor((n + m) * {1 - NEAR / 100!r} + 1e-6) as int)) >= 0"
+    alike = lines.join(b, ["nightlife_date", "band"]).where("line < other and not arrays_overlap(split(line, ' '), split(other, ' '))").where(F.expr(edits)).select("nightlife_date", "line", "other")
+    one = named.select("nightlife_date", "line", F.col("event_id").alias("x"), F.col("start_s").alias("xs"))
+    two = named.select("nightlife_date", F.col("line").alias("other"), F.col("event_id").alias("y"), F.col("start_s").alias("ys"))
+    rows = alike.join(one, ["nightlife_date", "line"]).join(two, ["nightlife_date", "other"]).where("x <> y")
+    side = lambda a, b: F.when(F.col("x") < F.col("y"), F.col(a)).otherwise(F.col(b))
+    return rows.select(side("x", "y").alias("u"), side("y", "x").alias("v"), side("xs", "ys").alias("us"), side("ys", "xs").alias("vs"))
+
+
 def _cells() -> Column:
     """Keys of the 0.005-degree squares around a place, so that places within 250 m share one."""
     there = (F.coalesce(F.col("lat"), F.lit(0.0)) != 0) & (F.coalesce(F.col("lon"), F.lit(0.0)) != 0)

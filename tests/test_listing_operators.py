@@ -1,11 +1,13 @@
 """Merging, resolution, venues, gates, liveness, feed and the stream."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from kalends.config import FAMILIES, Policy, Settings
+from kalends.functions import text
 from kalends.operators import classify, feed, gates, liveness, merge, resolve, select, venues
 from kalends.streaming import strikes
 
@@ -168,3 +170,18 @@ def test_breaker_resets_on_ok_only(spark):
     kinds = ["blocked"] * 3 + ["other"] + ["blocked"] * 2 + ["ok"] + ["blocked"] * 4
     df = spark.createDataFrame([("h", k, x) for k, x in enumerate(kinds)], "host string, n int, kind string")
     assert select.trips(df, "host", [F.col("n")], "kind", 5).first()["tripped_at"] == 6 and select.trips(df, "host", [F.col("n")], "kind", 6).count() == 0
+
+
+def test_titles_alike_by_letters_alone_are_compared(spark):
+    """All pairs of a night that score 80 or more are found, without a common word, venue id or place."""
+    rng = random.Random(3)
+    titles = ["technonacht", "technonachts", "abcd", "abcdef", "abcde"]
+    for _ in range(40):
+        word = "".join(rng.choice("aet") for _ in range(rng.randint(3, 14)))
+        titles += [word, word[:2] + "x" + word[2:], word[1:] + " " + word[:3]]
+    rows = [(f"e{k:03d}", f"s{k % 2}", None, None, None, t, "club", "2026-01-01" if k < 5 else f"2026-01-0{k % 2 + 1}", 3600 * k) for k, t in enumerate(titles)]
+    slots = spark.createDataFrame(rows, "event_id string, source string, venue_id string, lat double, lon double, t string, v string, nightlife_date string, start_s long")
+    got = {(r.u, r.v): r for r in resolve.pairs(slots).collect()}
+    want = {(a[0], b[0]): text.token_set(a[5], b[5]) for a in rows for b in rows if a[0] < b[0] and a[7] == b[7]}
+    assert {p for p, score in want.items() if score >= 80} <= got.keys() and any(score == 80 for score in want.values())
+    assert got[("e000", "e001")].matched and all(r.matched == (want[p] >= 90) and r.title_score == want[p] for p, r in got.items())
