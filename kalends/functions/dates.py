@@ -40,17 +40,24 @@ def _parsed(local: Column, offset: Column, date_only: Column) -> Column:
     return F.when(local.isNotNull(), F.struct(local.alias("local"), offset.cast("int").alias("offset_s"), date_only.alias("date_only")))
 
 
+def _lenient(x: str | None, day: str) -> datetime.datetime | None:
+    from dateutil import parser
+
+    try:
+        return None if not x else parser.parse(x, dayfirst=True, fuzzy=True, default=datetime.datetime.fromisoformat(day)).replace(tzinfo=None)
+    except (ValueError, OverflowError):
+        return None
+
+
 @F.pandas_udf(T.TimestampNTZType())
 def _fuzzy(s: pd.Series, as_of: pd.Series) -> pd.Series:
-    from dateutil import parser
+    return pd.Series([_lenient(x, d) for x, d in zip(s, as_of)], dtype="datetime64[ns]")
 
-    def one(x: str | None, day: str) -> datetime.datetime | None:
-        try:
-            return None if not x else parser.parse(x, dayfirst=True, fuzzy=True, default=datetime.datetime.fromisoformat(day)).replace(tzinfo=None)
-        except (ValueError, OverflowError):
-            return None
 
-    return pd.Series([one(x, d) for x, d in zip(s, as_of)], dtype="datetime64[ns]")
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _fuzzy_all(s: pd.Series, as_of: pd.Series) -> pd.Series:
+    read = lambda x, d: (v := _lenient(x, d)) and v.isoformat(timespec="seconds")
+    return pd.Series([None if xs is None else [read(x, d) for x in xs] for xs, d in zip(s, as_of)], dtype=object)
 
 
 def parse_dt(value: Column, as_of: str, fuzzy: bool = False) -> Column:
@@ -88,6 +95,15 @@ def parse_dt(value: Column, as_of: str, fuzzy: bool = False) -> Column:
     return out
 
 
+def read_leniently(values: Column, as_of: str) -> Column:
+    """An array of times, those that only the lenient step reads replaced by their ISO form: Python cannot run inside
+    a lambda, so arrays go through it whole, and only where something is left to read."""
+    trimmed = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    rest = F.transform(values, lambda x: F.when(parse_dt(x, as_of).isNull() & (trimmed(x) != ""), trimmed(x)))
+    read = _fuzzy_all(F.when(F.exists(rest, lambda x: x.isNotNull()), rest), F.lit(as_of))
+    return F.when(read.isNull(), values).otherwise(F.zip_with(values, read, lambda x, y: F.coalesce(y, x)))
+
+
 def instant(parsed: Column, zone: str) -> Column:
     """The moment of a parsed time as a timestamp."""
     utc = F.when(parsed["offset_s"].isNotNull(), parsed["local"] - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), parsed["offset_s"].cast("decimal(18,6)")))

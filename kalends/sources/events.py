@@ -10,17 +10,20 @@ from kalends.functions import dates, ids, prices, text
 from kalends.operators.gates import policy_table
 
 
-def to_events(records: DataFrame, settings: Settings, fuzzy: bool = False) -> DataFrame:
+def to_events(records: DataFrame, settings: Settings, fuzzy: bool = True) -> DataFrame:
     """Canonical events with their occurrences as an array. Rows without an external link or a readable start go.
 
-    Tags set here (sold-out, free-entry) hold until a classification replaces them all."""
+    Dates that no other rule reads go through the lenient last step, which runs on these only, unless ``fuzzy`` is
+    false. Tags set here (sold-out, free-entry) hold until a classification replaces them all."""
     linked = records.where(text.has_external_link(F.col("source_url"), RECORD_HOSTS))
     status = text.schema_enum(F.col("event_status"), STATUSES, F.coalesce(F.nullif("event_status", F.lit("")), F.lit("scheduled")))
     mode = text.schema_enum(F.col("attendance_mode"), MODES, F.coalesce(F.nullif("attendance_mode", F.lit("")), F.lit("offline")))
     occurrence = lambda s, e, d: dates.make_occurrence(s, e, d, settings.zone, settings.as_of, F.col("_status"), fuzzy)
     none = F.lit(None).cast("string")
     df = linked.withColumns({"_status": status, "_mode": mode}).withColumn("_first", occurrence(F.col("start"), F.col("end"), F.col("doors"))).where("_first is not null")
-    more = F.filter(F.transform(F.coalesce("extra_starts", F.array().cast("array<string>")), lambda s: dates.make_occurrence(s, none, none, settings.zone, settings.as_of, F.col("_status"))), lambda x: x.isNotNull())
+    extra = F.coalesce("extra_starts", F.array().cast("array<string>"))
+    df = df.withColumn("_extra", dates.read_leniently(extra, settings.as_of) if fuzzy else extra)
+    more = F.filter(F.transform("_extra", lambda s: dates.make_occurrence(s, none, none, settings.zone, settings.as_of, F.col("_status"))), lambda x: x.isNotNull())
     df = df.withColumns({"_all": F.concat(F.array("_first"), more), "price": prices.parse_price(F.col("price_text"), F.col("price_value"), F.col("is_free"))})
     policy = F.broadcast(policy_table(records.sparkSession, settings).select("source", "description_ok"))  # a row for each source
     df = df.join(policy, "source", "left")

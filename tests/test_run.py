@@ -37,6 +37,20 @@ def test_run(spark):
     assert feed["objects"].count() == 2 and [r.n_events for r in feed["days"].collect()] == [1]
 
 
+def test_ingest_reads_lenient_dates(spark):
+    """Start, end, doors and further starts in a form that only the lenient last step reads."""
+    names = list(records.RAW)
+    ddl = ", ".join(f"`{k}` {v}" for k, v in records.RAW.items())
+    row = lambda **x: tuple(x.get(k) for k in names)
+    base = {"source": "ra", "venue_name": "Lido", "city": "Berlin", "title": "Konzert", "source_url": "https://x.de/1"}
+    raw = spark.createDataFrame([row(**base, source_event_id="1", start="June 14 at 8pm", end="June 14 at 11pm", doors="June 14 at 7pm", extra_starts=["June 15 at 8pm", "2026-06-16T20:00"])], ddl)
+    index = venues.index(spark.createDataFrame([(1, "v1", "Lido", [], "live_music")], "ordinal int, venue_id string, name string, aliases array<string>, prior string"))
+    events, slots = run.ingest(raw, index, Settings("2026-01-15", policies=(Policy("ra"),)))
+    got = sorted((r.starts_at_utc, r.ends_at_utc, r.doors_at_local) for r in slots.collect())
+    assert events.count() == 1 and [str(s)[:13] for s, _, _ in got] == ["2026-06-14T18", "2026-06-15T18", "2026-06-16T18"]
+    assert str(got[0][1])[:13] == "2026-06-14T21" and "19:00" in str(got[0][2])
+
+
 def test_photos_stay_with_one_event(spark):
     df = spark.createDataFrame([("b", "p"), ("a", "p"), ("c", None), ("d", "q")], "event_id string, stock_image_url string")
     assert {r.event_id: r.stock_image_url for r in run.release_duplicate_photos(df).collect()} == {"a": "p", "b": None, "c": None, "d": "q"}
