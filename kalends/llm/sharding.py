@@ -22,9 +22,22 @@ from .common import materialize
 SHARDS, SEED, GROUP, BUCKET = 24, 7_919, 1_024, 10_000
 
 
+def _large(rng: np.random.Generator, m: int, rest: int, n: int) -> int:
+    """How many of n rows drawn from m + rest are of the m, by inversion: probabilities follow from the ratios of
+    neighbours, over 12 standard deviations around the mean (what lies beyond is under 1e-30)."""
+    t = m + rest
+    mean, sd = n * m / t, (n * m / t * (rest / t) * ((t - n) / max(t - 1, 1))) ** 0.5
+    low, high = max(n - rest, 0, int(mean - 12 * sd) - 50), min(m, n, int(mean + 12 * sd) + 50)
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log(m - k) + np.log(n - k) - np.log(k + 1) - np.log(rest - n + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return low + min(int(np.searchsorted(sums, rng.random() * sums[-1], side="right")), high - low)
+
+
 def draw(rng: np.random.Generator, lacking: np.ndarray, n: int) -> np.ndarray:
-    """One row of the matrix: n rows dealt over shards that lack so many. Below 1e9 rows an exact hypergeometric
-    draw; beyond, where numpy has none, its normal limit, clipped to what is possible."""
+    """One row of the matrix: n rows dealt over shards that lack so many, each a hypergeometric draw; from
+    1e9 rows on, where numpy has none, by `_large`."""
     out = np.zeros(len(lacking), np.int64)
     rest = int(lacking.sum())
     for j, m in enumerate(map(int, lacking)):
@@ -34,8 +47,7 @@ def draw(rng: np.random.Generator, lacking: np.ndarray, n: int) -> np.ndarray:
         if m + rest < 1_000_000_000:
             got = int(rng.hypergeometric(m, rest, n)) if m and rest else min(m, n)
         else:
-            t = m + rest
-            got = round(rng.normal(n * m / t, (n * m / t * (rest / t) * ((t - n) / (t - 1))) ** 0.5))
+            got = _large(rng, m, rest, n)
         out[j] = got = min(max(got, n - rest, 0), m, n)
         n -= got
     return out

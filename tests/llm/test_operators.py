@@ -226,6 +226,16 @@ def test_hypergeometric_draw_keeps_sums():
     assert big.sum() == 10**6
 
 
+def test_draws_from_over_a_billion_rows_have_the_law(spark):
+    rng = np.random.default_rng(8)
+    got = np.array([sharding.draw(rng, np.array([5 * 10**8, 2 * 10**9]), 3)[0] for _ in range(4000)])
+    assert np.abs(np.bincount(got, minlength=4) / 4000 - np.array([0.512, 0.384, 0.096, 0.008])).max() < 0.03
+    # the same law as numpy's where numpy has one
+    one, two = (np.array([f() for _ in range(3000)]) for f in (lambda: sharding._large(rng, 40_000, 60_000, 5_000), lambda: rng.hypergeometric(40_000, 60_000, 5_000)))
+    assert abs(one.mean() - two.mean()) < 3 and abs(one.std() / two.std() - 1) < 0.08
+    assert sharding._large(rng, 7, 0, 3) == 3 and sharding._large(rng, 0, 9, 3) == 0
+
+
 def test_sharding_odd_rows(spark):
     got = sharding.shard(frame(spark, ODD)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in ODD)
