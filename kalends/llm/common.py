@@ -1,59 +1,32 @@
-"""What the operators share: the shared folder, lineage cuts and connected components."""
+"""What the operators share: words, work columns, the library's lineage cuts and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from kalends.operators.graph import components, cut, forget, join_counted, shared_dir, written
+
+__all__ = ["BLANKS", "WORD", "clear", "components", "forget", "free", "join_counted", "materialize", "shared_dir", "written"]
 
 #: A word is a run of anything but the six ASCII blanks; fixed by the query contracts.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
+materialize = cut
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Names for work columns that no column of ``df`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    prefix = "__"
+    while any(f"{prefix}{n}".lower() in taken for n in names):
+        prefix += "_"
+    return [prefix + n for n in names]
+
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named, as in tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        path = tempfile.mkdtemp(prefix="kalends-")
-        spark.sparkContext.setCheckpointDir(path)
-        return shared_dir(spark)
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession)}/kalends/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
-    """Connected components of undirected ``edges`` (u, v long) as (node, component): the smallest node reachable.
-
-    Every round takes the smallest label of all neighbours and then the label of the label, so a chain of n nodes
-    takes about log n rounds. All steps are joins and aggregations with map-side combining; nothing but one count
-    reaches the driver. Labels are written to the shared folder each round. Null ends are ignored; an edge from a
-    node to itself makes that node a component of its own.
-    """
-    ends = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u is not null and v is not null")
-    both = materialize(ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), f"{name}-edges")
-    label = materialize(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.min("u")).alias("label")), f"{name}-0")
-    for k in range(1, rounds + 1):
-        near = (
-            both.join(label.select(F.col("node").alias("v"), "label"), "v")
-            .groupBy(F.col("u").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        hop = label.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("mid"))
-        up = label.select(F.col("node").alias("mid"), F.col("label").alias("up"))
-        new = hop.join(up, "mid").select("node", "was", F.least("mid", "up").alias("label"))
-        label = materialize(new, f"{name}-{k}")
-        if label.where("was <> label").isEmpty():
-            return label.select("node", F.col("label").alias("component"))
-    raise RuntimeError(f"{name}: components still changed after {rounds} rounds")
+def clear(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` starts with."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix

@@ -1,16 +1,20 @@
-"""Repeated line runs through prefix doubling over line-id sequences.
+"""Repeated line runs through a suffix array over line-id sequences, built by distributed prefix doubling.
 
 Every document is a sequence of line ids; the corpus is their concatenation with a unique end after each document.
-Prefix doubling names the class of suffixes that share their first 2**k lines: round k+1 names the pairs (class of i,
-class of i + 2**k). A class is an interval of the suffix array whose common prefix is at least 2**k lines; it is named
-by its first text position instead of its left border, because the first copy is what the deletion needs. Suffixes
-alone in their class have no repeat that long and leave the later rounds.
-
-A maximal repeated run of at least ``min_words`` words is covered by its shortest windows of ``min_words`` words taken
-forward from each of its lines and backward from each of its lines, and a window of any length is named exactly by its
-two overlapping power-of-two classes. So one aggregate over windows finds every line of every maximal run that has an
+Prefix doubling ranks the suffixes by their first 2**k lines: round k+1 sorts the pairs (rank of i, rank of i + 2**k).
+Suffixes that agree so far have one rank, the left border of their interval of the suffix array, and with their number
+that interval [rank, rank + n) is the one whose longest common prefix is 2**k lines or more. Suffixes alone in their
+interval have no repeat that long and leave the array of the later rounds.
+
+A common prefix of any length between two powers is the overlap of two of these intervals, one at its start and one
+that ends with it. A maximal repeated run of at least ``min_words`` words is covered by its shortest stretches of
+``min_words`` words taken forward and backward from each of its lines; the prefix interval of such a stretch holds all
+its copies, and all but the first are deleted. So one aggregate finds every line of every maximal run that has an
 earlier copy, with no pairs of copies and no scan of an interval. Doubling stops at 2**k > min_words lines, since every
 line counted has a word.
+
+Ranks are sums over range partitions, and the line or interval that a third of all suffixes share is met by broadcast
+(:func:`join_counted`), so no task holds one.
 """
 
 from __future__ import annotations
@@ -18,9 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, materialize
+from .common import BLANKS, free, join_counted, materialize
 
 MIN_WORDS = 40
+SEED = 7_340_033
 
 
 def _windows(lines: DataFrame, min_words: int) -> DataFrame:
@@ -52,28 +57,40 @@ def _windows(lines: DataFrame, min_words: int) -> DataFrame:
     return ahead.where("span is not null").unionByName(behind.where("span > 1"))
 
 
+def _ranked(classes: DataFrame, by: list[str]) -> DataFrame:
+    """``classes`` (by, n) with r: how many suffixes are in classes before, in the order of ``by``. Sums run within
+    range partitions, whose totals, a row for each, meet in one place."""
+    ranged = materialize(classes.repartitionByRange(*by).withColumn("pid", F.spark_partition_id()), "ranged")
+    totals = ranged.groupBy("pid").agg(F.sum("n").alias("total"))
+    before = totals.select("pid", (F.sum("total").over(Window.orderBy("pid")) - F.col("total")).alias("before"))
+    inside = Window.partitionBy("pid").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    within = ranged.withColumn("within", F.sum("n").over(inside) - F.col("n"))
+    return materialize(within.join(F.broadcast(before), "pid").select(*by, "n", (F.col("before") + F.col("within")).alias("r")), "ranks")
+
+
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Line numbers (from 0) to delete: doc_id, h (hash of the row's text), lines array<int>; see :func:`dedup_lines`."""
+    """Line numbers (from 0) to delete: d, h (keys of the row's id and text), lines array<int>; see :func:`dedup_lines`."""
     text = F.col("text")
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).where("text is not null")
-    key = [F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h")]
-    split = found.select(*key, F.posexplode(F.split("text", "\n")).alias("lno", "line"))
+    split = found.select(*_keys(F.col("doc_id"), text), F.posexplode(F.split("text", "\n")).alias("lno", "line"))
     words = F.size(F.split(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")), BLANKS))
-    lines = split.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("d", "h", "lno", F.xxhash64("line").alias("id"), words.cast("long").alias("w"))
-    lines = materialize(lines, "lines")
-    twice = lines.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    # Blank lines do not count as lines, so that a run goes on across them.
-    seq = F.row_number().over(Window.partitionBy("d", "h").orderBy("lno")).alias("seq")
-    kept = lines.dropDuplicates(["d", "h", "lno"]).select("d", "h", "lno", "id", "w", seq).join(twice, "id", "left_semi")
-    placed = materialize(kept.repartitionByRange("d", "h", "seq").sortWithinPartitions("d", "h", "seq").withColumn("pos", F.monotonically_increasing_id()), "repeated")
-    first = placed.groupBy("id").agg(F.min("pos").alias("r"), F.count("*").alias("n")).where("n > 1").select("id", "r")
-    level = materialize(placed.join(first, "id").select("d", "h", "seq", "pos", "r"), "class-0")
-    classes, k = level.withColumn("k", F.lit(0)), 0
+    # two hashes of different seeds: at 1e12 lines one alone would take some unequal lines for equal
+    ids = [F.xxhash64("line").alias("id"), F.xxhash64(F.lit(SEED), "line").alias("id2")]
+    lines = split.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("d", "h", "lno", *ids, words.cast("long").alias("w"))
+    # Blank lines do not count as lines, so that a run goes on across them; repeated rows count once.
+    order = Window.partitionBy("d", "h").orderBy("lno")
+    copy = F.row_number().over(Window.partitionBy("d", "h", "lno").orderBy("id"))
+    lines = materialize(lines.withColumns({"seq": F.dense_rank().over(order), "copy": copy}).where("copy = 1").drop("copy"), "lines")
+    twice = lines.groupBy("id", "id2").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = join_counted(lines, _ranked(twice, ["id", "id2"]), ["id", "id2"])
+    ordered = ranked.repartitionByRange("d", "h", "seq").sortWithinPartitions("d", "h", "seq")
+    placed = materialize(ordered.select("d", "h", "lno", "seq", "w", "r", F.monotonically_increasing_id().alias("pos")), "repeated")
+    level, classes, k = placed.select("d", "h", "seq", "pos", "r"), placed.select("d", "h", "seq", "pos", "r", F.lit(0).alias("k")), 0
     while 2 ** (k + 1) <= min_words:
         far = level.select("d", "h", (F.col("seq") - 2**k).alias("seq"), F.col("r").alias("b"))
-        pairs = level.withColumnRenamed("r", "a").join(far, ["d", "h", "seq"])
-        named = pairs.groupBy("a", "b").agg(F.min("pos").alias("r"), F.count("*").alias("n")).where("n > 1").select("a", "b", "r")
-        level, k = materialize(pairs.join(named, ["a", "b"]).select("d", "h", "seq", "pos", "r"), f"class-{k + 1}"), k + 1
+        pairs = materialize(level.withColumnRenamed("r", "a").join(far, ["d", "h", "seq"]), "pairs")
+        named = _ranked(pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1"), ["a", "b"])
+        level, k = materialize(join_counted(pairs, named, ["a", "b"]).select("d", "h", "seq", "pos", "r"), f"rank-{k + 1}"), k + 1
         if level.isEmpty():
             break
         classes = classes.unionByName(level.withColumn("k", F.lit(k)))
@@ -82,29 +99,39 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     right = classes.select("d", "h", F.col("seq").alias("at"), "k", F.col("r").alias("b"))
     named = windows.join(left, ["d", "h", "seq", "k"]).withColumn("at", F.col("seq") + F.col("span") - F.pow(F.lit(2), "k").cast("int")).join(right, ["d", "h", "at", "k"])
     named = materialize(named.select("d", "h", "seq", "span", "back", "a", "b", "pos"), "windows")
-    firsts = named.groupBy("back", "span", "a", "b").agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = named.join(firsts, ["back", "span", "a", "b"]).where("pos > first")
+    firsts = materialize(named.groupBy("back", "span", "a", "b").agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1"), "intervals")
+    later = join_counted(named, firsts, ["back", "span", "a", "b"]).where("pos > first")
     gone = later.select("d", "h", F.explode(F.sequence(F.col("seq"), F.col("seq") + F.col("span") - 1)).alias("seq")).distinct()
     return gone.join(placed, ["d", "h", "seq"]).groupBy("d", "h").agg(F.sort_array(F.collect_list("lno")).alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def _keys(doc_id: F.Column, text: F.Column) -> list[F.Column]:
+    """d, h of a row: its id (the last of all without one), and a hash that tells texts of one id apart."""
+    return [F.coalesce(doc_id, F.lit(2**63 - 1)).alias("d"), F.xxhash64(doc_id.isNull(), text).alias("h")]
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, prefix: str = "_") -> DataFrame:
     """``docs`` (doc_id, text and any others) with later copies of repeated line runs deleted.
 
     A line goes if it lies in a run of consecutive lines with at least ``min_words`` words that also stands earlier:
     in a document of a smaller doc_id, or above in the same text (the two may overlap). Lines compare as they are;
     blank lines count for nothing and stay. All columns stay; text is replaced, and ``_deleted_lines`` (array<int>,
-    empty if none) and ``_n_lines`` (lines with a word before) are added.
+    empty if none) and ``_n_lines`` (lines with a word before) are added, under another ``prefix`` if given. Columns
+    that have these two names are replaced; others may have any name.
 
     A null text stays null. Null doc_ids come last in the order. Rows with equal doc_id and text are one document and
-    get the same result each; rows with one doc_id and other texts are ordered by a hash of the text.
+    get the same result each; rows with one doc_id and other texts are ordered by a hash of the text. An empty table
+    gives no rows.
     """
-    gone = repeated_lines(docs, min_words).withColumnsRenamed({"d": "_d", "h": "_h", "lines": "_deleted_lines"})
-    keyed = docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "_h": F.xxhash64(F.col("doc_id").cast("long").isNull(), "text")})
-    joined = keyed.join(gone, ["_d", "_h"], "left").withColumn("_lines", F.split("text", "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_deleted_lines")
-    clean = F.array_join(F.transform(left, lambda k: F.get(F.col("_lines"), k)), "\n")
-    n_lines = F.size(F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    names = {"text": F.when(F.col("_deleted_lines").isNull(), F.col("text")).otherwise(clean), "_n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines)}
-    out = joined.withColumns(names).withColumn("_deleted_lines", F.coalesce("_deleted_lines", F.array().cast("array<int>")))
-    return out.select(*docs.columns, "_deleted_lines", "_n_lines")
+    deleted, n_lines = f"{prefix}deleted_lines", f"{prefix}n_lines"
+    docs = docs.drop(deleted, n_lines)
+    d, h, gone_lines, split = free(docs, "d", "h", "gone", "split")
+    gone = repeated_lines(docs, min_words).withColumnsRenamed({"d": d, "h": h, "lines": gone_lines})
+    own = _keys(F.col("doc_id").cast("long"), F.col("text"))
+    joined = docs.withColumns({d: own[0], h: own[1]}).join(gone, [d, h], "left").withColumn(split, F.split("text", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone_lines)
+    clean = F.array_join(F.transform(left, lambda k: F.get(F.col(split), k)), "\n")
+    counted = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(split, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))))
+    text = F.when(F.col(gone_lines).isNull(), F.col("text")).otherwise(clean).alias("text")
+    columns = [text if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*columns, F.coalesce(gone_lines, F.array().cast("array<int>")).alias(deleted), counted.alias(n_lines))
