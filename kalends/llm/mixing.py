@@ -2,7 +2,8 @@
 
 Token counts are aggregated to cells (source, language, topic). Raking multiplies the cells by one factor for each
 source, language and topic until every marginal has its target share. A document's weight is the product of its three
-factors, scaled to a probability; documents are then sampled by a hash of their id and text.
+factors, scaled to a probability; documents are then sampled by a hash of their id and text. The topic is a column of
+the documents if one is named; a class that the text's words hash to stands in for it otherwise.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, materialize
+from .common import BLANKS, free, materialize
 
 TOPICS = 8
 #: Default targets: each marginal's observed share to this power, normalised.
@@ -23,20 +24,27 @@ KEYS = ("_source", "_lang", "_topic")
 SEED = 104_729
 
 
-def weighed(docs: DataFrame) -> DataFrame:
-    """``docs`` with _tokens (words), _source, _lang (null as empty) and _topic.
-
-    The topic needs no lexicon: of the classes that a text's words of six letters or more hash to it is the most
-    frequent, the lowest if tied, and 0 without such words.
-    """
-    trimmed = F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
-    split = docs.withColumn("_trimmed", trimmed).withColumn("_words", F.when(F.col("_trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("_trimmed", BLANKS)))
-    long = F.filter("_words", lambda x: F.char_length(x) > 5)
-    classes = split.withColumn("_tokens", F.size("_words").cast("long")).withColumn("_classes", F.transform(long, lambda x: F.pmod(F.xxhash64(F.lower(x)), F.lit(TOPICS)).cast("int")))
-    held = lambda k: F.size(F.filter("_classes", lambda x: x == k))
-    counts = F.array(*(F.struct(held(k).alias("n"), F.lit(-k).alias("k")) for k in range(TOPICS)))
-    out = classes.withColumn("_topic", -F.array_max(counts)["k"])
-    return out.select(*docs.columns, "_tokens", F.coalesce("source", F.lit("")).alias("_source"), F.coalesce("lang", F.lit("")).alias("_lang"), "_topic")
+def weighed(docs: DataFrame, names: list[str], topic: str | None = None) -> DataFrame:
+    """``docs`` with four more columns ``names``: tokens (words), source, lang and topic as strings (null as empty).
+
+    Without a ``topic`` column, the topic needs no lexicon: of the `TOPICS` classes that a text's words of six letters
+    or more hash to it is the most frequent, the lowest if tied, and 0 without such words."""
+    tokens, source, lang, own = names
+    trimmed, words, classes = free(docs, "trimmed", "words", "classes")
+    split = docs.withColumn(trimmed, F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\x0c\r")))
+    split = split.withColumn(words, F.when(F.col(trimmed) == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANKS)))
+    out = split.withColumn(tokens, F.size(words).cast("long"))
+    if topic is None:
+        long = F.filter(words, lambda x: F.char_length(x) > 5)
+        out = out.withColumn(classes, F.transform(long, lambda x: F.pmod(F.xxhash64(F.lower(x)), F.lit(TOPICS)).cast("int")))
+        held = lambda k: F.size(F.filter(classes, lambda x: x == k))
+        counts = F.array(*(F.struct(held(k).alias("n"), F.lit(-k).alias("k")) for k in range(TOPICS)))
+        out = out.withColumn(own, (-F.array_max(counts)["k"]).cast("string"))
+    else:
+        out = out.withColumn(own, F.coalesce(F.col(f"`{topic}`").cast("string"), F.lit("")))
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*columns, tokens, plain("source").alias(source), plain("lang").alias(lang), own)
 
 
 def rake(cells: dict[tuple, float], targets: list[dict], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[dict]:
@@ -62,15 +70,27 @@ def rake(cells: dict[tuple, float], targets: list[dict], rounds: int = ROUNDS, t
     return [dict(zip(n, f.tolist())) for n, f in zip(names, factors)]
 
 
+def _share(sums: dict, want: dict | None) -> dict:
+    """Target shares of a marginal with observed shares ``sums``.
+
+    Without ``want`` the observed shares to the power `TEMPERATURE`. Values that ``want`` does not name keep their
+    observed share, and those it names divide the rest as their weights say; a weight of 0 leaves a value out."""
+    if not want:
+        raw = {k: s**TEMPERATURE for k, s in sums.items()}
+        whole = sum(raw.values()) or 1.0
+        return {k: v / whole for k, v in raw.items()}
+    named = sum(want[k] for k in sums if k in want)
+    rest = 1.0 - sum(s for k, s in sums.items() if k not in want)
+    return {k: (want[k] / named * rest if named else 0.0) if k in want else s for k, s in sums.items()}
+
+
 def _targets(cells: dict[tuple, float], given: list[dict | None]) -> list[dict]:
     total, out = sum(cells.values()) or 1.0, []
     for axis, want in enumerate(given):
         sums: dict = {}
         for key, n in cells.items():
             sums[key[axis]] = sums.get(key[axis], 0.0) + n / total
-        raw = {k: want.get(k, 0.0) for k in sums} if want else {k: s**TEMPERATURE for k, s in sums.items() if s > 0}
-        whole = sum(raw.values()) or 1.0
-        out.append({k: raw.get(k, 0.0) / whole for k in sums})
+        out.append(_share(sums, want))
     return out
 
 
@@ -87,7 +107,7 @@ def _weights_on_driver(parts: DataFrame, given: list[dict | None]) -> DataFrame:
         return out
 
     scale = max(map(weight, held), default=1.0) or 1.0
-    return F.broadcast(parts.sparkSession.createDataFrame([(*k, weight(k) / scale) for k in cells], "_source string, _lang string, _topic int, _weight double"))
+    return F.broadcast(parts.sparkSession.createDataFrame([(*k, weight(k) / scale) for k in cells], "_source string, _lang string, _topic string, _weight double"))
 
 
 def _weights_as_tables(parts: DataFrame, given: list[dict | None]) -> DataFrame:
@@ -101,12 +121,14 @@ def _weights_as_tables(parts: DataFrame, given: list[dict | None]) -> DataFrame:
     targets = []
     for c, want in zip(KEYS, given):
         sums = cells.groupBy(c).agg(F.sum("share").alias("s")).where("s > 0")
-        if want:
-            named = spark.createDataFrame(list(want.items()), f"{c} {parts.schema[c].dataType.simpleString()}, raw double")
-            raw = sums.join(F.broadcast(named), c, "left").select(c, F.coalesce("raw", F.lit(0.0)).alias("raw"))
-        else:
-            raw = sums.select(c, F.pow("s", F.lit(TEMPERATURE)).alias("raw"))
-        raw = materialize(raw, f"raw{c}")
+        if want:  # see `_share`
+            given_ = F.broadcast(spark.createDataFrame([(str(k), float(v)) for k, v in want.items()], f"{c} string, raw double"))
+            sums = materialize(sums.join(given_, c, "left"), f"named{c}")
+            named, rest = sums.agg(F.sum("raw"), F.sum(F.when(F.col("raw").isNull(), F.col("s")))).first()
+            told = F.col("raw") * F.lit((1.0 - (rest or 0.0)) / named if named else 0.0)
+            targets.append(materialize(sums.select(c, F.coalesce(told, F.col("s")).alias("target")), f"target{c}"))
+            continue
+        raw = materialize(sums.select(c, F.pow("s", F.lit(TEMPERATURE)).alias("raw")), f"raw{c}")
         targets.append(raw.select(c, (F.col("raw") / F.lit(raw.agg(F.sum("raw")).first()[0] or 1.0)).alias("target")))
     for _ in range(ROUNDS):
         worst = 0.0
@@ -122,22 +144,36 @@ def _weights_as_tables(parts: DataFrame, given: list[dict | None]) -> DataFrame:
     return cells.select(*KEYS, (product / F.lit(scale)).alias("_weight"))
 
 
-def mix(docs: DataFrame, sources: dict | None = None, langs: dict | None = None, topics: dict | None = None, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, sources: dict | None = None, langs: dict | None = None, topics: dict | None = None, seed: int = SEED, topic: str | None = None, prefix: str = "_") -> DataFrame:
     """``docs`` (doc_id, text, source, lang and any others) with _tokens, _topic, _probability and _sampled.
 
-    Targets are shares by value; by default the observed shares of tokens to the power 0.8. Sampling keeps a document
-    if the hash of (seed, doc_id, text) falls below its probability, so repeated rows share their fate. A null source
-    or language is a value of its own (the empty one). Probabilities are scaled so that the largest is 1, and none is cut:
-    the more a target raises a rare cell, the fewer documents of all others are kept. A text without words has no tokens
-    and the probability of its cell, where a source, language or topic without tokens has factor 1. An empty table
-    gives no rows. Every source and language has a factor of its own; up to `CELLS` cells are raked on the driver, more
-    as tables.
+    Targets are shares by value; by default the observed shares of tokens to the power 0.8. Values that given targets
+    do not name keep their observed share; those named with 0 are not sampled. ``topic`` names a column of topics; if
+    none is named, a hash class of the words stands in for it. Sampling keeps a document if the hash of (seed, doc_id,
+    text) falls below its probability, so repeated rows share their fate.
+
+    A null source, language or topic is a value of its own (the empty one). Probabilities are scaled so that the
+    largest is 1, and none is cut: the more a target raises a rare cell, the fewer documents of all others are kept.
+    A text without words has no tokens and the probability of its cell, where a source, language or topic without
+    tokens has factor 1. An empty table gives no rows. Every source and language has a factor of its own; up to
+    `CELLS` cells are raked on the driver, more as tables. Columns that have the four names (under ``prefix``) are
+    replaced; others may have any name.
     """
-    rows = weighed(docs)
+    out_names = [f"{prefix}{n}" for n in ("tokens", "topic", "probability", "sampled")]
+    docs = docs.drop(*out_names)
+    names = free(docs, "tokens", "source", "lang", "topic")
+    rows = weighed(docs, names, topic)
     # written once: several questions are asked of it, and each would read all texts again
-    parts = materialize(rows.groupBy(*KEYS).agg(F.sum("_tokens").alias("n")), "cells")
+    parts = materialize(rows.groupBy(*(F.col(n).alias(k) for n, k in zip(names[1:], KEYS))).agg(F.sum(names[0]).alias("n")), "cells")
     weights = _weights_on_driver if parts.limit(CELLS + 1).count() <= CELLS else _weights_as_tables
-    cells = weights(parts, [sources, langs, topics])
-    chance = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(2**53)) / F.lit(float(2**53))).alias("u")
-    out = rows.join(cells, list(KEYS), "left").withColumn("_probability", F.least(F.lit(1.0), F.coalesce("_weight", F.lit(1.0))))
-    return out.select(*docs.columns, "_tokens", "_topic", "_probability", (chance < F.col("_probability")).alias("_sampled"))
+    given = [{str(k): v for k, v in want.items()} if want else None for want in (sources, langs, topics)]
+    cells = weights(parts, given)
+    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(2**53)) / F.lit(float(2**53))
+    c_names = free(docs, "c_source", "c_lang", "c_topic", "weight")
+    cells = cells.toDF(*c_names)
+    on = [rows[a] == cells[b] for a, b in zip(names[1:], c_names)]
+    joined = rows.join(cells, on, "left")
+    probability = F.least(F.lit(1.0), F.coalesce(F.col(c_names[3]), F.lit(1.0)))
+    shown = F.col(names[3]) if topic is not None else F.col(names[3]).cast("int")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*columns, F.col(names[0]).alias(out_names[0]), shown.alias(out_names[1]), probability.alias(out_names[2]), (chance < probability).alias(out_names[3]))
