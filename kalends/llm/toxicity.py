@@ -7,8 +7,8 @@ score is that of its worst window of the whole text, calibrated on the training
 starts every `STRIDE` words and the last one ends with the text, so every passage of up to WINDOW - STRIDE + 1 words is
 whole in a window.
 
-Training is plain numpy on the driver, on at most `SAMPLE` labelled documents of each class, with the gradient of the
-network written out. A label belongs to a document and not to a window, so each epoch trains on every document's worst
+Training is plain numpy on the driver, on at most `SAMPLE` labelled documents of each class and `SAMPLE_BYTES` of text,
+with the gradient of the network written out. A label belongs to a document and not to a window, so each epoch trains on every document's worst
 window so far, and on a random one of clean documents.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +27,9 @@ WINDOW, STRIDE = 32, 12
 DIM, HIDDEN, GRAMS = 8, 8, 1 << 13
 #: The bound of the training sample: documents of each class, chosen by a hash of doc_id.
 SAMPLE = 1_000
+#: The bound of their texts together, and of one of them; longer ones teach nothing but are scored whole like all.
+SAMPLE_BYTES, TEXT_BYTES = 16 << 20, 1 << 20
 EPOCHS, BATCH, RATE, DROP, SEED = 8, 64, 0.01, 0.4, 11
-VOCABULARY = 20_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -266,7 +267,7 @@ def train(texts: list[str], labels: list[int], seed: int = SEED, epochs: int | N
     words = list(map(plain, kinds))
     docs = [np.fromiter(map(place.__getitem__, t), np.int64, len(t)) for t in tokens]
     seen = Counter(w for d in docs for w in {words[k] for k in set(d.tolist())})
-    vocabulary = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n > 1]
+    vocabulary = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n > 1]  # the sample bounds them
     index = {w: k + 1 for k, w in enumerate(vocabulary)}
     rows = np.array([index.get(w, 0) for w in words])
     gram_ids, gram_count = grams(words)
@@ -331,17 +332,20 @@ def folded(doc_id) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """Train on at most ``sample`` documents of each class whose doc_id is not held out.
+    """Train on at most ``sample`` documents of each class whose doc_id is not held out, in the order of a hash of
+    doc_id until `SAMPLE_BYTES` of text are reached.
 
-    Labels other than 0 and 1, null ids and documents without words are left out. If a class has no document, the
-    model is the constant share of class 1."""
+    Labels other than 0 and 1, null ids, documents without words and texts over `TEXT_BYTES` are left out. If a class
+    has no document, the model is the constant share of class 1."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(folded(F.col("doc_id")) != 0)
     share = known.agg(F.avg("toxic")).first()[0]
     few = [known.where(F.col("toxic") == k).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id")).limit(sample) for k in (0, 1)]
     ids = {r[0]: r[1] for part in few for r in part.collect()}
     spark = docs.sparkSession
     picked = spark.createDataFrame(list(ids.items()), "doc_id long, toxic int")  # at most 2 * sample rows
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).collect()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text") <= TEXT_BYTES).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum(F.octet_length("text")).over(before)).where(F.col("upto") <= SAMPLE_BYTES).collect()
     rows = sorted((r for r in rows if r["text"] and r["text"].split()), key=lambda r: r["doc_id"])
     prior = float(share) if share is not None else 0.0
     if len({r["toxic"] for r in rows}) < 2:
@@ -369,4 +373,5 @@ def score(docs: DataFrame, model: dict, column: str = "score") -> DataFrame:
                 out = np.where(np.isnan(best), out, _sigmoid(m["a"] * best + m["b"]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    plain_names = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # names may hold anything
+    return plain_names.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
