@@ -1,11 +1,15 @@
 """MinHash near-duplicates with odd sketches.
 
 Plan: every text becomes one row of sketches (MinHash bands, odd sketch, set digest). Equal sets collapse to the
-smallest id, so copies cost one aggregate. Buckets of a band join their members to the bucket's smallest id only,
-which is linear in the bucket; the components of these candidate edges are clusters of possible duplicates. Members
-of a cluster meet with their full sets in blocks of a bounded size; odd sketches estimate each pair from the
-population count of an XOR, and only pairs whose estimate allows the threshold are confirmed on the full sets. A
-block returns no more links than it has members (those that connect), so no pair list is ever written.
+smallest id, so copies cost one aggregate. Buckets of all bands are contracted to candidate clusters: a member keeps
+one edge to the smallest head of its buckets, and two heads get an edge only if they are left apart by that, so a group
+of m copies costs about m edges and not m for each band.
+
+Links are confirmed on full sets in two steps. First every member meets the head of its edge: that is linear, and joins
+most of a cluster. Only members of parts still apart meet in pairs of blocks of a bounded size, if their sizes allow
+the threshold and they are not both of the cluster's largest part. Odd sketches estimate each such pair from the
+population count of an XOR, and only pairs whose estimate allows the threshold are confirmed. A block returns no more
+links than it has members (those that connect), so no pair list is ever written.
 
 Recall: with 50 bands of 8 samples a pair at similarity 0.85 misses every band with probability 1.2e-7.
 Odd sketches: 400 samples in 1024 bits; the estimate may be `SLACK` short of the threshold before a pair is dropped.
@@ -20,14 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, join_counted, materialize
 
 BANDS, ROWS, BITS = 50, 8, 1024
 SEED = 20_240_607
 #: An estimate from 400 samples has a standard error of about 0.02 at 0.85; six of them.
 SLACK = 0.12
 #: Members and shingles of a block; a pair of blocks is what one group holds in memory.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 1_500, 1_500_000
+BLOCK_MEMBERS, BLOCK_SHINGLES = 600, 1_500_000
+#: Members that meet one copy of their head's text.
+STAR = 200
+#: From here on stand ids made of texts, for rows without one.
+NO_ID = 1 << 62
 
 _M64 = (1 << 64) - 1
 
@@ -131,11 +139,12 @@ def _sketches(width: int):
     return run
 
 
-def link_block(ids: np.ndarray, sets: list[np.ndarray], odd: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def link_block(ids: np.ndarray, sets: list[np.ndarray], odd: np.ndarray, side: np.ndarray, percent: int, part: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect the members of a pair of blocks, each confirmed on full sets.
 
-    ``side`` is 0 or 1; where both occur, pairs within one side belong to another call and are skipped. Returns at
-    most len(ids) - 1 links: those that join two parts not joined before.
+    ``side`` is 0 or 1; where both occur, pairs within one side belong to another call and are skipped, as are pairs
+    of one ``part`` (known to be connected). Returns at most len(ids) - 1 links: those that join two parts not joined
+    before.
     """
     m = len(ids)
     if m < 2:
@@ -144,7 +153,7 @@ def link_block(ids: np.ndarray, sets: list[np.ndarray], odd: np.ndarray, side: n
     tokens, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     owner = np.repeat(np.arange(m), sizes)
-    part = np.arange(m)
+    part = np.arange(m) if part is None else np.unique(part, return_inverse=True)[1]
     words = odd.reshape(m, -1).view(np.uint64)
     both = len(np.unique(side)) > 1
     mark = np.zeros(len(tokens), bool)
@@ -174,32 +183,39 @@ def link_block(ids: np.ndarray, sets: list[np.ndarray], odd: np.ndarray, side: n
     return out
 
 
+#: What a block holds of each member: its key (g, i, j), the representative, its side and part, sketch and text.
+MEMBER = ["g", "i", "j", "rep", "th", "side", "part", "odd", "text"]
+
+
 def _links(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (cluster, i, j); a group may span batches."""
+        """Rows come sorted by (g, i, j); a group may span batches."""
         shingler = Shingler(width)
-        now, held, seen = None, ([], [], [], []), set()
+        now, held, seen = None, ([], [], [], [], []), set()
 
         def close() -> list[tuple[int, int]]:
-            ids, sets, odd, side = held
+            ids, sets, odd, side, part = held
             order = np.argsort(np.array(ids, np.int64), kind="stable")
-            got = link_block(np.array(ids, np.int64)[order], [sets[k] for k in order], np.frombuffer(b"".join(odd[k] for k in order), np.uint8), np.array(side, np.int64)[order], percent)
+            got = link_block(
+                np.array(ids, np.int64)[order], [sets[k] for k in order], np.frombuffer(b"".join(odd[k] for k in order), np.uint8), np.array(side, np.int64)[order], percent, np.array(part, np.int64)[order]
+            )
             for x in held:
                 x.clear()
             return got
 
         for batch in batches:
             rows, found = batch.to_pydict(), []
-            for key, rep, th, side, odd, text in zip(zip(rows["cluster"], rows["i"], rows["j"]), rows["rep"], rows["th"], rows["side"], rows["odd"], rows["text"]):
-                if key != now:
+            for g, i, j, rep, th, side, part, odd, text in zip(*(rows[c] for c in MEMBER)):
+                if (g, i, j) != now:
                     if held[0]:
                         found += close()
-                    now = key
+                    now = (g, i, j)
                     seen.clear()
                 if (rep, th) in seen:  # a repeated row
                     continue
                 seen.add((rep, th))
-                held[0].append(rep), held[1].append(shingler.set(text)), held[2].append(odd), held[3].append(side)
+                for column, x in zip(held, (rep, shingler.set(text), odd, side, part)):
+                    column.append(x)
             yield pa.RecordBatch.from_pydict({"u": pa.array([x[0] for x in found], pa.int64()), "v": pa.array([x[1] for x in found], pa.int64())})
         if held[0]:
             found = close()
@@ -208,6 +224,76 @@ def _links(width: int, percent: int):
     return run
 
 
+def _candidates(reps: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect all reps with a common bucket, and no others: about one a rep.
+
+    A bucket's star has its smallest rep as head. Each rep keeps its edge to the smallest of its heads, m; its other
+    heads h stand for edges between m of the rep and m of h, of which most are the same."""
+    entries = materialize(reps.select("rep", F.explode("bands").alias("key")), "entries")
+    buckets = materialize(entries.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1"), "buckets")
+    met = join_counted(entries, buckets, ["key"])
+    own = materialize(met.groupBy("rep").agg(F.min("head").alias("m"), F.collect_set("head").alias("heads")), "heads")  # as many as bands at most
+    first = own.where("rep <> m").select(F.col("rep").alias("u"), F.col("m").alias("v"))
+    apart = own.select(F.col("m").alias("u"), F.explode("heads").alias("head")).where("u <> head").distinct()
+    up = own.select(F.col("rep").alias("head"), F.col("m").alias("v"))
+    return first.unionByName(apart.join(up, "head").select("u", "v").where("u <> v").distinct())
+
+
+def _blocks(m: str, s: str) -> F.Column:
+    return F.greatest(F.lit(1), F.ceil(F.col(m) / BLOCK_MEMBERS), F.ceil(F.col(s) / BLOCK_SHINGLES)).cast("long")
+
+
+def _confirmed(dealt: DataFrame, base: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) of members dealt to blocks (g, i, j), with their texts from ``base``."""
+    full = dealt.join(base.withColumnRenamed("doc_id", "rep"), ["rep", "th"])
+    full = full.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return full.select(*MEMBER).mapInArrow(_links(width, percent), "u long, v long")
+
+
+def _stars(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """Every edge's u meets its v: members dealt in groups of `STAR`, each with one copy of the head."""
+    ends = edges.select(F.col("u").alias("rep"), F.col("v").alias("g"))
+    load = members.join(ends, "rep").groupBy("g").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+    salts = F.greatest(F.ceil(F.col("m") / STAR), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("long")
+    load = materialize(load.select("g", salts.alias("salts"), F.col("m").alias("n")), "stars")
+    nothing = F.lit(0).cast("long")
+    row = lambda side: [F.lit(side).alias("side"), F.col("rep").alias("part"), "odd", "th"]
+    with_ends = materialize(members.join(ends, "rep").select("rep", "g", *row(1)), "ends")
+    leaves = join_counted(with_ends, load, ["g"]).select("g", F.pmod(F.xxhash64("rep"), F.col("salts")).alias("i"), nothing.alias("j"), "rep", "side", "part", "odd", "th")
+    heads = members.join(load.withColumnRenamed("g", "rep"), "rep").select("rep", *row(0), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("i"))
+    return leaves.unionByName(heads.select(F.col("rep").alias("g"), "i", nothing.alias("j"), "rep", "side", "part", "odd", "th"))
+
+
+def _pairs_apart(members: DataFrame, percent: int) -> DataFrame:
+    """Members (rep, th, n_shingles, odd, cluster, part) of clusters that hold several parts, dealt to pairs of blocks.
+
+    A cluster's members fall in groups: by size, in steps of the threshold, and by whether they are of its largest
+    part. Groups whose sizes cannot reach the threshold do not meet, nor do two of the largest part."""
+    parts = members.groupBy("cluster", "part").agg(F.count("*").alias("k"))
+    open_ = parts.groupBy("cluster").agg(F.max(F.struct("k", "part"))["part"].alias("core"), F.count("*").alias("parts"), F.sum("k").alias("n")).where("parts > 1").select("cluster", "core", "n")
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / percent)) + F.lit(1e-9)).cast("long")
+    group = (2 * step + F.when(F.col("part") == F.col("core"), 1).otherwise(0)).alias("group")
+    placed = materialize(join_counted(members, materialize(open_, "open"), ["cluster"]).select("cluster", group, "rep", "th", "n_shingles", "odd", "part"), "placed")
+    load = materialize(placed.groupBy("cluster", "group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s")).select("cluster", "group", "n", _blocks("n", "s").alias("blocks")), "load")
+    # a row of `load` is a group of a cluster; they are as many as steps of size
+    other = load.select("cluster", F.col("group").alias("to"), F.col("blocks").alias("to_blocks"))
+    near = (F.abs(F.floor(F.col("group") / 2) - F.floor(F.col("to") / 2)) <= 1) & ~((F.col("group") % 2 == 1) & (F.col("to") % 2 == 1))
+    meets = load.join(other, "cluster").where(near).groupBy("cluster", "group", "n", "blocks").agg(F.collect_list(F.struct("to", "to_blocks")).alias("meets"))
+    each = join_counted(placed, materialize(meets, "meets"), ["cluster", "group"]).withColumn("b", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    each = each.withColumn("w", F.explode("meets")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("w.to_blocks") - 1)))
+    own, first = F.col("group") == F.col("w.to"), F.col("group") < F.col("w.to")
+    pick = lambda same, low, high: F.when(own, same).when(first, low).otherwise(high)
+    g = F.xxhash64("cluster", F.least("group", "w.to"), F.greatest("group", "w.to"))
+    i, j = pick(F.least("b", "o"), F.col("b"), F.col("o")), pick(F.greatest("b", "o"), F.col("o"), F.col("b"))
+    side = pick(F.when(F.col("b") > F.col("o"), 1).otherwise(0), F.lit(0), F.lit(1))
+    return each.select(g.alias("g"), i.alias("i"), j.alias("j"), "rep", side.alias("side"), "part", "odd", "th")
+
+
+def key(doc_id: F.Column, text: F.Column) -> F.Column:
+    """doc_id, or for rows without one a number of their text's from `NO_ID` on."""
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text.cast("binary")), 2))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -215,41 +301,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     at least ``percent`` / 100. component_id is the smallest doc_id reachable over links; kept marks that document.
 
     Null, empty and blank texts have an empty set and are linked with nothing. Rows with a null doc_id get
-    n_shingles, a null component_id and kept = true. Rows that repeat a doc_id count as one document with several
-    texts: they share a component, and each such row is marked alike. Columns other than doc_id and text are ignored.
+    n_shingles, a null component_id and kept = true (:func:`key` gives them ids first where they must count). Rows
+    that repeat a doc_id count as one document with several texts: they share a component, and each such row is marked
+    alike. Columns other than doc_id and text are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).withColumn("th", F.xxhash64("text"))
     sketch = materialize(base.mapInArrow(_sketches(width), "doc_id long, th long, n_shingles long, digest binary, bands array<long>, odd binary"), "sketch")
     keyed = sketch.where("doc_id is not null and digest is not null")
-    sets = keyed.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    sets = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "sets")
     reps = materialize(
-        keyed.withColumnRenamed("doc_id", "rep").join(sets, ["digest", "rep"]).dropDuplicates(["digest", "rep"]).select("rep", "th", "n_shingles", "bands", "odd"),
+        keyed.withColumnRenamed("doc_id", "rep").join(sets.drop("n"), ["digest", "rep"]).dropDuplicates(["digest", "rep"]).select("rep", "th", "n_shingles", "bands", "odd"),
         "reps",
     )
-    entries = reps.select("rep", F.explode("bands").alias("key"))
-    buckets = entries.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head <> last").select("key", "head")
-    candidates = entries.join(buckets, "key").where("rep <> head").select(F.col("rep").alias("u"), F.col("head").alias("v")).distinct()
-    clusters = components(candidates, "clusters").withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster")
-    members = reps.select("rep", "th", "n_shingles", "odd").join(clusters, "rep")
-    load = members.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_MEMBERS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("long")
-    placed = members.join(load, "cluster").select("rep", "th", "cluster", "odd", blocks.alias("n"), F.pmod(F.xxhash64("rep"), blocks).alias("b"))
-    dealt = placed.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select(
-        "rep", "th", "cluster", "odd", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), F.when(F.col("b") > F.col("o"), 1).otherwise(0).alias("side")
-    )
-    full = dealt.join(base.withColumnRenamed("doc_id", "rep"), ["rep", "th"]).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = full.select("cluster", "i", "j", "rep", "th", "side", "odd", "text").mapInArrow(_links(width, percent), "u long, v long")
+    candidates = materialize(_candidates(reps), "candidates")
+    clusters = components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    members = materialize(reps.select("rep", "th", "n_shingles", "odd").join(clusters, "rep"), "members")
+    links = materialize(_confirmed(_stars(members.drop("cluster"), candidates), base, width, percent), "links")
+    joined = components(links).select(F.col("node").alias("rep"), F.col("component").alias("part"))
+    parts = members.join(joined, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    late = materialize(_confirmed(_pairs_apart(materialize(parts, "parts"), percent), base, width, percent), "late")
     several = keyed.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("doc_id")
-    same_id = keyed.join(several, "doc_id").join(sets, "digest").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    joined = components(links.unionByName(same_id), "components").withColumnRenamed("node", "rep")
-    by_set = sets.join(joined, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    return (
-        sketch.select("doc_id", "n_shingles", "digest")
-        .join(by_set, "digest", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
-            F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
-        )
-    )
+    same_id = keyed.join(several, "doc_id").join(sets.drop("n"), "digest").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    more = late.unionByName(same_id).where("u <> v")
+    if not more.isEmpty():
+        joined = components(links.unionByName(more)).select(F.col("node").alias("rep"), F.col("component").alias("part"))
+    by_set = materialize(sets.join(joined, "rep", "left").select("digest", F.coalesce("part", "rep").alias("component"), "n"), "by_set")
+    found = join_counted(keyed.select("doc_id", "n_shingles", "digest"), by_set, ["digest"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+    alone = sketch.where("doc_id is null or digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return found.unionByName(alone)
