@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free
+
 ROUNDS = 8
-#: Use a key of your own; this one only makes runs repeatable.
-KEY = "kalends-demo-key"
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: A match starts where a run of its letters starts, and labels are as many as a name can have: so a text of any length
+#: is read once, and no pattern recurses deeply.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,63}"
 SECRET = r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[0-9A-Za-z]{36}\b|\bsk-[0-9A-Za-z]{20,}\b|(?i:\b(?:password|passwd|secret|api_?key|token)\s?[=:]\s?)[^\s,;\"']{4,}"
 IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b"
 CARD = r"(?<![0-9.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|[.-][0-9])"
@@ -114,7 +116,8 @@ def _secret(key: str, m: Column) -> Column:
     head = F.regexp_extract(m, r"(?i)^(AKIA|gh[pousr]_|sk-|(?:password|passwd|secret|api_?key|token)\s?[=:]\s?)", 1)
     fill = F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), m), 512)
     fill = F.when(head == "AKIA", F.upper(F.translate(fill, "0189", "GHJK"))).otherwise(fill)
-    return F.concat(head, F.substring(F.repeat(fill, 4), F.lit(1), F.char_length(m) - F.char_length(head)))
+    n = F.char_length(m) - F.char_length(head)
+    return F.concat(head, F.substring(F.repeat(fill, F.ceil(n / 128).cast("int")), F.lit(1), n))
 
 
 def _iban(key: str, m: Column) -> Column:
@@ -192,19 +195,24 @@ def _kind(m: Column) -> Column:
     return out
 
 
-def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str, prefix: str = "_") -> DataFrame:
     """``docs`` (text and any others) with the personal data in text replaced, and ``_pii`` added:
-    array<struct<kind, found, pseudonym>> in text order, for audit.
+    array<struct<kind, found, pseudonym>> in text order, for audit. ``key`` is the secret that all pseudonyms hang on.
 
     E-mail addresses and secrets get keyed names of the same form; card numbers, IBANs, phone numbers, social security
-    numbers, IPv4 addresses and dates get Feistel pseudonyms of their format. What fails validation is left as it is.
-    A null text stays null with an empty array; rows are treated one by one, so nulls elsewhere and repeated rows need
-    no rule. All other columns stay.
+    numbers, IPv4 addresses and dates get Feistel pseudonyms of their format. The domain of an address and the letters
+    of an IBAN stay; IPv6 addresses are not looked for. What fails validation is left as it is.
+
+    A null text stays null with an empty array, an empty one empty; rows are treated one by one, so nulls elsewhere and
+    repeated rows need no rule, and an empty table gives no rows. All other columns stay, whatever their names, but for
+    one of the name ``_pii`` (under ``prefix``), which is replaced.
     """
-    columns = [c for c in docs.columns if c != "text"]
-    base = docs.withColumn("_hit", F.coalesce(F.col("text").rlike(HINT), F.lit(False)))
-    found = F.when(F.col("_hit"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    base = base.withColumn("_found", found)
+    out = f"{prefix}pii"
+    docs = docs.drop(out)
+    hit, places, judged_, gaps = free(docs, "hit", "places", "judged", "gaps")
+    base = docs.withColumn(hit, F.coalesce(F.col("text").rlike(HINT), F.lit(False)))
+    found = F.when(F.col(hit), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    base = base.withColumn(places, found)
 
     def judged(m: Column) -> Column:
         def made(k: Column) -> Column:
@@ -215,10 +223,8 @@ def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
 
         return let(_kind(m), lambda k: F.struct(k.alias("kind"), m.alias("found"), made(k).alias("pseudonym")))
 
-    base = base.withColumn("_judged", F.transform("_found", judged))
-    gaps = F.when(F.size("_found") > 0, F.split("text", PATTERN))
-    base = base.withColumn("_gaps", gaps)
-    pieces = F.transform("_judged", lambda x, i: F.concat(F.coalesce(x["pseudonym"], x["found"]), F.get(F.col("_gaps"), i + 1)))
-    text = F.when(F.size("_found") > 0, F.concat(F.get("_gaps", F.lit(0)), F.array_join(pieces, ""))).otherwise(F.col("text"))
-    done = base.withColumn("_new", text)
-    return done.select(*(F.col("_new").alias("text") if c == "text" else F.col(c) for c in docs.columns), F.filter("_judged", lambda x: x["pseudonym"].isNotNull()).alias("_pii"))
+    some = F.size(places) > 0
+    base = base.withColumn(judged_, F.transform(places, judged)).withColumn(gaps, F.when(some, F.split("text", PATTERN)))
+    pieces = F.transform(judged_, lambda x, i: F.concat(F.coalesce(x["pseudonym"], x["found"]), F.get(F.col(gaps), i + 1)))
+    text = F.when(some, F.concat(F.get(gaps, F.lit(0)), F.array_join(pieces, ""))).otherwise(F.col("text"))
+    return base.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), F.filter(judged_, lambda x: x["pseudonym"].isNotNull()).alias(out))
