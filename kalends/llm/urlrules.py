@@ -1,8 +1,10 @@
 """URL filter from association rules.
 
-FP-growth mines the token combinations of labelled urls that occur with a blocking label; rules pruned by support,
-confidence and lift, and by shorter rules that say as much, form an inverted index from their rarest token to the rule.
-A url looks its tokens up and a rule fires if all its tokens are there. Given rules for hosts and paths come first.
+FP-growth mines the token combinations of labelled urls that occur with a blocking label, on two thirds of them. Rules
+are pruned by support, confidence and lift, by shorter rules that say as much, and by the third that mining has not
+seen: there, too, a rule must reach the confidence, and surely block more than the share of blocked urls. What is left
+forms an inverted index from each rule's rarest token to the rule. A url looks its tokens up and a rule fires if all its
+tokens are there. Given rules for hosts and paths come first; they teach nothing.
 """
 
 from __future__ import annotations
@@ -11,9 +13,13 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import forget, join_counted, materialize
 
 SUPPORT, CONFIDENCE, LIFT, TOKENS = 0.002, 0.6, 1.5, 3
+#: Blocked urls that a rule must hold at least, and one in how many labelled urls is kept from mining.
+LEAST, HELD_OUT = 8, 3
+#: Standard deviations for "surely".
+SURE = 1.96
 RULE = "tokens array<string>, confidence double"
 BLOCKED = "\x00block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,42 +62,68 @@ def given(rules: list[tuple[str, str, str]], h: Column, p: Column) -> Column:
     return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
 
-def mine_table(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
-    """Rules (tokens, confidence) that block, from (url, blocked boolean): all that support, confidence and lift allow,
-    but for those of which a part is a rule of at least the same confidence. Support bounds how many there are.
+def _lower(hits: Column, n: Column) -> Column:
+    """The lower end of Wilson's interval for a share."""
+    p, z2 = hits / n, F.lit(SURE**2)
+    return (p + z2 / (2 * n) - F.lit(SURE) * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
+
+def mine_table(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT, least: int = LEAST, held_out: int = HELD_OUT) -> DataFrame:
+    """Rules (tokens, confidence) that block, from (url, blocked boolean): all that support, confidence, lift and the
+    held-out urls allow, but for those of which a part is a rule of at least the same confidence.
+
+    A rule holds ``least`` blocked urls of those mined. A hash of the url holds one in ``held_out`` out (0: none, and
+    rules are not confirmed). Tokens that are too rare among blocked urls to be in any rule are left out before mining.
     Rows with a null url or label are left out; without rows or without a blocked one there are no rules."""
-    items = labelled.where("url is not null and blocked is not null").select(F.concat(tokens(F.col("url")), F.when(F.col("blocked"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))).alias("items"), "blocked")
-    items = items.where(F.size("items") > 0)
-    if items.where("blocked").isEmpty():
-        return labelled.sparkSession.createDataFrame([], RULE)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    spark = labelled.sparkSession
+    rows = labelled.where("url is not null and blocked is not null").select("url", "blocked", tokens(F.col("url")).alias("found"))
+    rows = materialize(rows.select("*", F.monotonically_increasing_id().alias("row"), (F.pmod(F.xxhash64("url"), F.lit(held_out)) == 0 if held_out else F.lit(False)).alias("held")), "labelled")
+    mined = rows.where("not held")
+    n, n_blocked = mined.agg(F.count("*"), F.count_if("blocked")).first()
+    if not n_blocked:
+        return spark.createDataFrame([], RULE)
+    floor = max(least, -(-support * n // 1))
+    each = materialize(mined.select("row", "blocked", F.explode("found").alias("token")), "tokens")
+    usual = materialize(each.groupBy("token").agg(F.count_if("blocked").alias("bad"), F.count("*").alias("n")).where(F.col("bad") >= floor).select("token", "n"), "usual")
+    kept = join_counted(each, usual, ["token"]).groupBy("row").agg(F.collect_list("token").alias("items"))  # a url's tokens
+    items = mined.join(kept, "row", "left").select(F.concat(F.coalesce("items", F.array().cast("array<string>")), F.when(F.col("blocked"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=max(1e-12, (floor - 0.5) / n), minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.element_at("consequent", 1) == BLOCKED).where((F.size("antecedent") <= TOKENS) & (F.col("lift") >= lift))
     rules = materialize(found.select(F.sort_array("antecedent").alias("tokens"), "confidence"), "rules")
+    if held_out:
+        hits = _matches(rules, rows.where("held").select("found", "blocked")).groupBy("tokens", "confidence").agg(F.count("*").alias("n"), F.count_if("blocked").alias("bad"))
+        sure = (F.col("bad") >= confidence * F.col("n")) & (_lower(F.col("bad"), F.col("n")) > F.lit(n_blocked / n))
+        rules = materialize(hits.where(sure).select("tokens", "confidence"), "confirmed")
     part = F.expr("transform(sequence(1, shiftleft(1, size(tokens)) - 2), m -> filter(tokens, (x, i) -> shiftright(m, i) % 2 = 1))")
     parts = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode(part).alias("part"))
     shorter = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("least"))
     said = parts.join(shorter, "part").where("least >= confidence").select("tokens").distinct()
-    return materialize(rules.join(said, "tokens", "left_anti").select("tokens", "confidence"), "pruned")
+    out = materialize(rules.join(said, "tokens", "left_anti").select("tokens", "confidence"), "pruned")
+    forget(spark, each, usual, rows)
+    return out
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> list[tuple[list[str], float]]:
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT, least: int = LEAST, held_out: int = HELD_OUT) -> list[tuple[list[str], float]]:
     """The rules of `mine_table` as a list, the surest first."""
-    rules = mine_table(labelled, support, confidence, lift).orderBy(F.desc("confidence"), F.size("tokens"), "tokens")
+    rules = mine_table(labelled, support, confidence, lift, least, held_out).orderBy(F.desc("confidence"), F.size("tokens"), "tokens")
     return [(list(r["tokens"]), r["confidence"]) for r in rules.collect()]
 
 
-def fired(rules: DataFrame, found: DataFrame) -> DataFrame:
-    """For each token array ``found`` in which a mined rule has all its tokens: found, fired, the surest of these rules
-    as struct(confidence, tokens).
+def _matches(rules: DataFrame, rows: DataFrame) -> DataFrame:
+    """Each of ``rows`` (found and others) with each rule of which it has all tokens.
 
     An inverted index lists each rule under its token that the fewest rules have; urls meet it by their tokens."""
     each = rules.select("tokens", "confidence", F.explode("tokens").alias("token"))
     often = each.groupBy("token").agg(F.count("*").alias("n"))
     index = each.join(often, "token").groupBy("tokens", "confidence").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
-    met = found.select("found", F.explode("found").alias("token")).join(F.broadcast(index), "token")  # as many rules as support allows
-    held = met.where(F.size(F.array_except("tokens", "found")) == 0)
-    return held.groupBy("found").agg(F.max(F.struct("confidence", "tokens")).alias("fired"))
+    met = rows.withColumn("token", F.explode("found")).join(F.broadcast(index), "token")  # as many rules as support allows
+    return met.where(F.size(F.array_except("tokens", "found")) == 0).drop("token")
+
+
+def fired(rules: DataFrame, found: DataFrame) -> DataFrame:
+    """For each token array ``found`` in which a mined rule has all its tokens: found, fired, the surest of these rules
+    as struct(confidence, tokens)."""
+    return _matches(rules, found.select("found")).groupBy("found").agg(F.max(F.struct("confidence", "tokens")).alias("fired"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame | list[tuple[list[str], float]]) -> DataFrame:
@@ -108,10 +140,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame
     return base.select("page_id", "host", "path", F.col("given.rule").alias("rule"), verdict.alias("verdict"), F.col("fired.tokens").alias("tokens"), F.col("fired.confidence").alias("confidence"))
 
 
-def training(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """Labelled urls (url, blocked): the given rule's verdict where one fits; else the label of the page's id, where
-    quality 0 or toxic 1 blocks. Pages without either are left out; several labels of one id block if one does."""
+def training(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled urls (url, blocked): the label of the page's id, where quality 0 or toxic 1 blocks. Pages without a
+    label are left out; several labels of one id block if one does."""
     marks = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
-    base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url").join(marks, "page_id", "left")
-    ruled = given(rules, host(F.col("url")), path(F.col("url")))["verdict"]
-    return base.select("url", F.coalesce(ruled == "block", F.col("bad") == 1).alias("blocked")).where("blocked is not null")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url").join(marks, "page_id").select("url", (F.col("bad") == 1).alias("blocked")).where("blocked is not null")
