@@ -126,6 +126,51 @@ def test_redaction_tidies_and_leaves_the_rest(spark):
     assert [(r.r.text, r.r.removals) for r in rows] == [("hallo", 1), ("ohne", 0), (None, 0)] and rows[0].c
 
 
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ("Der Kurs ist frei.\nAnmeldung erwünscht unter : 030 / 55 50 12 34", "Der Kurs ist frei.\nAnmeldung erwünscht"),
+        ("Ein Abend.\nFührungen buchbar: bildung@example.de / 030 5550 123 45", "Ein Abend.\nFührungen buchbar"),
+        ("Das Angebot ist kostenlos.\nE-Mail: lich@example.de\nBis bald.", "Das Angebot ist kostenlos.\nBis bald."),
+        ("Tel. 030 55501 234.\nKostenfrei | Ab 12 Jahren", ".\nKostenfrei | Ab 12 Jahren"),
+        ("Bei Fragen (030) 55501 234 anrufen.", "Bei Fragen anrufen."),
+        ("Frau Muster Tel. 55 50 12 34 anrufen", "Frau Muster anrufen"),
+        ("Kontakt:\nUnser Team hilft gern.\nTel. 030 55501 234 anrufen.", "Kontakt:\nUnser Team hilft gern.\n anrufen."),
+        ("Karten: a@b.de , c@d.de – heute", "Karten: – heute"),
+        ("Eintritt 12,50 € — Karten 030 555 01 23.", "Eintritt 12,50 € — Karten."),
+        ("Ort [a@b.de] frei", "Ort frei"),
+        ("Treffpunkt ist Raum 0 12, Grabungen 2023/24, 8.30 - 9.30 Uhr, am 20.03.2024.", "Treffpunkt ist Raum 0 12, Grabungen 2023/24, 8.30 - 9.30 Uhr, am 20.03.2024."),
+    ],
+)
+def test_redaction_leaves_sentences(given, want):
+    assert text.redact(given)[0] == want
+
+
+def test_long_texts_do_not_hold_up(spark):
+    dotted, run = "a." * 100_000 + "com", "0123456789abcdef" * 65_536
+    assert text.redact(run) == (run, 0) and text.redact("mail x@" + dotted)[1] <= 1 and text.redact("1234 " * 200_000)[1] >= 0
+    df = spark.createDataFrame([(dotted,), (run,)], "t string")
+    got = df.select(text.ensure_scheme(F.col("t")).alias("u"), text.contains_contact(F.col("t")).alias("c"), text.has_external_link(F.col("t"), RECORD_HOSTS).alias("e")).collect()
+    assert got[0].u == "https://" + dotted and got[1].u == run and not got[1].c
+
+
+def test_bit_rows_give_the_longest_common_subsequence():
+    import random
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for k, y in enumerate(b, 1):
+                last, row[k] = row[k], last + 1 if x == y else max(row[k], row[k - 1])
+        return row[-1]
+
+    r = random.Random(3)
+    for _ in range(2000):
+        a, b = ("".join(r.choice("abcäß ") for _ in range(r.randint(0, 40))) for _ in range(2))
+        assert text.common_length(a, b) == plain(a, b)
+
+
 def test_names_and_similarity(spark):
     assert one(spark, text.norm_name(F.col("a")), a="  Café  STRASSE — Görli!") == "cafe strasse gorli"
     assert one(spark, text.norm_title(F.col("a")), a="Ausverkauft: Die Ärzte") == "die arzte"
