@@ -48,16 +48,16 @@ def tokens(url: Column) -> Column:
 def given(rules: list[tuple[str, str, str]], h: Column, p: Column) -> Column:
     """The longest of the given rules (host, path, verdict) that fits: struct(rule, verdict), or null.
 
-    The host's suffixes are looked up in the rules' hosts, so the work for a url is its host's labels."""
+    The host's suffixes are looked up in the rules' hosts, so the work for a url does not grow with the rules."""
     if not rules:
         return F.lit(None).cast("struct<rule:string,verdict:string>")
     by: dict[str, list] = {}
     for a, b, verdict in rules:
         by.setdefault(a, []).append(F.struct(F.lit(b).alias("path"), F.lit(a + b).alias("rule"), F.lit(verdict).alias("verdict")))
     index = F.create_map(*(x for a, v in by.items() for x in (F.lit(a), F.array(*v))))
-    labels = F.split(h, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    fits = F.filter(F.flatten(F.filter(F.transform(suffixes, lambda s: F.try_element_at(index, s)), lambda x: x.isNotNull())), lambda r: F.startswith(p, r["path"]))
+    # as many of a host's suffixes as the longest rule has labels, so that a host of any length costs the same
+    suffixes = F.array(*(F.substring_index(h, ".", -k) for k in range(1, 1 + max(a.count(".") + 1 for a in by))))
+    fits = F.filter(F.flatten(F.filter(F.transform(F.array_distinct(suffixes), lambda s: F.try_element_at(index, s)), lambda x: x.isNotNull())), lambda r: F.startswith(p, r["path"]))
     best = F.array_max(F.transform(fits, lambda r: F.struct(F.char_length(r["rule"]).alias("n"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
     return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
@@ -120,10 +120,10 @@ def _matches(rules: DataFrame, rows: DataFrame) -> DataFrame:
     return met.where(F.size(F.array_except("tokens", "found")) == 0).drop("token")
 
 
-def fired(rules: DataFrame, found: DataFrame) -> DataFrame:
-    """For each token array ``found`` in which a mined rule has all its tokens: found, fired, the surest of these rules
-    as struct(confidence, tokens)."""
-    return _matches(rules, found.select("found")).groupBy("found").agg(F.max(F.struct("confidence", "tokens")).alias("fired"))
+def fired(rules: DataFrame, rows: DataFrame) -> DataFrame:
+    """For each row (row, found) in which a mined rule has all its tokens: row, fired, the surest of these rules as
+    struct(confidence, tokens). Rows meet the index one by one, so equal urls, however many, share no task."""
+    return _matches(rules, rows.select("row", "found")).groupBy("row").agg(F.max(F.struct("confidence", "tokens")).alias("fired"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame | list[tuple[list[str], float]]) -> DataFrame:
@@ -135,7 +135,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.coalesce(tokens(F.col("url")), F.array().cast("array<string>")).alias("found"))
     base = base.withColumn("given", given(rules, F.col("host"), F.col("path")))
     mined = pages.sparkSession.createDataFrame(mined, RULE) if isinstance(mined, list) else mined
-    base = base.join(fired(mined, base.select("found")), "found", "left")
+    base = materialize(base.withColumn("row", F.monotonically_increasing_id()), "pages")
+    base = base.join(fired(mined, base), "row", "left")
     verdict = F.coalesce("given.verdict", F.when(F.col("fired").isNotNull(), "block").otherwise("allow"))
     return base.select("page_id", "host", "path", F.col("given.rule").alias("rule"), verdict.alias("verdict"), F.col("fired.tokens").alias("tokens"), F.col("fired.confidence").alias("confidence"))
 
