@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,27 @@ def rules(sections: dict[str, list]) -> dict[str, list[str]]:
     return out
 
 
+def takedowns(path: str | None, inline: str | None) -> dict[str, list[str]]:
+    """The lists of a file and of an inline text (JSON, or YAML where a parser is there) together, each checked."""
+    parts = [rules(_parsed(text)) for text in ((Path(path).read_text() if path and Path(path).exists() else None), inline) if text and text.strip()]
+    return {kind: list(dict.fromkeys(v for part in parts for v in part[kind])) for kind in KINDS}
+
+
+def _parsed(text: str) -> dict:
+    try:
+        return json.loads(text)
+    except ValueError:
+        pass
+    try:
+        import yaml
+    except ImportError as e:
+        raise ValueError("takedowns: not JSON, and there is no YAML parser here") from e
+    try:
+        return yaml.safe_load(text) or {}
+    except yaml.YAMLError as e:
+        raise ValueError("takedowns: neither JSON nor YAML") from e
+
+
 def suppressed_by(lists: dict[str, list[str]], ids: Column, url: Column, venue: Column, title: Column) -> Column:
     """The first kind that hits, in fixed order, or null. ``ids`` is an array: the event's id and its aliases."""
     lit = lambda xs: F.array(*map(F.lit, xs)) if xs else F.array().cast("array<string>")
@@ -56,8 +80,10 @@ def suppressed_by(lists: dict[str, list[str]], ids: Column, url: Column, venue:
 
 
 def policy_table(spark, settings: Settings) -> DataFrame:
-    rows = [(p.slug, p.status == "active" or p.slug in settings.permitted, p.description, p.images, p.licence, p.attribution) for p in settings.policies]
-    return spark.createDataFrame(rows, "source string, permitted boolean, description_ok boolean, images_ok boolean, licence string, attribution string")
+    """A row a source; one that is permitted by hand and has no policy is permitted and nothing else."""
+    rows = [(p.slug, settings.permits(p.slug), p.description, p.images, p.name, p.homepage, p.access, p.licence, p.licence_url, p.terms_url, p.attribution) for p in settings.policies]
+    rows += [(slug, True, False, False, *[None] * 7) for slug in settings.permitted if all(p.slug != slug for p in settings.policies)]
+    return spark.createDataFrame(rows, "source string, permitted boolean, description_ok boolean, images_ok boolean, name string, homepage string, access string, licence string, licence_url string, terms_url string, attribution string")
 
 
 def gated(events: DataFrame, policies: DataFrame, reason: Column) -> DataFrame:

@@ -45,6 +45,12 @@ def kill(events: DataFrame, state: DataFrame, now: Column) -> DataFrame:
     return events.join(dead, "url", "left").withColumn("link_dead_at", F.when(F.col("_dead"), F.coalesce("link_dead_at", now)).otherwise(F.col("link_dead_at"))).select(events.columns)
 
 
+def kill_linkless(events: DataFrame, now: Column) -> DataFrame:
+    """Living heads whose link never was one die."""
+    bare = (F.col("canonical_id") == F.col("event_id")) & F.col("link_dead_at").isNull() & ~F.coalesce(F.col("url").startswith("http"), F.lit(False))
+    return events.withColumn("link_dead_at", F.when(bare, now).otherwise(F.col("link_dead_at")))
+
+
 def promote(events: DataFrame) -> DataFrame:
     """Clusters whose head is dead get their best living member as the head of all, dead ones included."""
     dead_heads = events.where((F.col("event_id") == F.col("canonical_id")) & F.col("link_dead_at").isNotNull()).select("canonical_id")

@@ -16,13 +16,20 @@ def coalesce_merge(old: DataFrame, new: DataFrame, key: list[str], first_seen: s
     return joined.select(*key, *(pick(c).alias(c) for c in columns))
 
 
+# What a stored event keeps, whatever a source reports anew.
+STORED = ("event_id", "canonical_id", "link_dead_at", "stock_image_url", "stock_attribution", "stock_attempted_at")
+CLASSIFIED = ("category", "category_tier", "category_confidence", "tags")
+
+
 def upsert_events(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
     """Next version of the event table from one run's rows, with ``_change`` (new, changed, url, same, absent).
 
     Rows: source, source_event_id, url, title, image_url, image_credit, basis (the hash of all that counts but the
     url), first_seen_at, last_seen_at. Equal basis and url: only last_seen_at moves. Equal basis, other url: the url
     moves, too, and it counts as no change. Other basis: everything is replaced, but a missing image keeps the old
-    one, and the credit follows only a new image. ``new`` has one row for each key; :func:`last_of_run` makes it so."""
+    one, and the credit follows only a new image. Category and tags follow the newest classification that decided, but
+    for verdicts of the retired tier, which hold until the event changes; ids, heads and what checks have found stay.
+    ``new`` has one row for each key; :func:`last_of_run` makes it so."""
     key = ["source", "source_event_id"]
     o, n = F.col("_old"), F.col("_new")
     fields = [c for c in old.columns if c not in key]
@@ -43,6 +50,11 @@ def upsert_events(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
             return F.when(fresh & n["image_url"].isNotNull(), n[c]).otherwise(o[c])
         if c == "url":
             return F.when(n.isNotNull(), n[c]).otherwise(o[c])
+        if c in STORED:
+            return F.when(o.isNotNull(), o[c]).otherwise(n[c])
+        if c in CLASSIFIED and set(CLASSIFIED) <= set(fields):
+            decided = n["category_tier"].isNotNull() & (n["category_tier"] != "fallback_other")
+            return F.when(o.isNull() | (decided & ((o["category_tier"] != "llm") | fresh)), n[c]).otherwise(o[c])
         return F.when(fresh, n[c]).otherwise(o[c])
 
     return joined.select(*key, *(value(c).alias(c) for c in fields), "_change")

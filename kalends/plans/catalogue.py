@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.config import FAMILY_PRIORITY
+from kalends.config import FAMILY_PRIORITY, LABELS, PLACEHOLDER_WORDS, POLICIES, Policy, Settings
 from kalends.functions import geo, ids, prices, text
-from kalends.operators import classify, feed, gates, graph, liveness, merge, resolve, select
+from kalends.operators import classify, feed, gates, graph, liveness, merge, resolve, select, upkeep
 from kalends.plans.listing import LISTING_SQL, SOURCES, listing, table
+from kalends.sources import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,39 +46,133 @@ WINDOW = "nightlife_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' AND can
 
 
 def windowed(spark, sf, *dims):
-    return listing(spark, sf, *dims).where("nightlife_date between date'2024-01-08' and date'2024-01-21' and canonical_id = event_id and category <> 'click'")
+    """Listings through the feed's window: heads that are not online (clicks stand for that), two weeks of nights."""
+    rows = listing(spark, sf, *dims)
+    events = rows.drop("nightlife_date").withColumns({"city": F.lit("berlin"), "link_dead_at": F.lit(None).cast("timestamp"), "attendance_mode": F.when(F.col("category") == "click", "online").otherwise("offline")})
+    slots = rows.select("event_id", "nightlife_date", F.date_format("start_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("starts_at_utc"))
+    return feed.window(events, slots, "berlin", F.lit("2024-01-08").cast("date"), 13)
 
 
 @query(f"WITH {LISTING_SQL} SELECT event_id, source, title, venue, strftime(start_utc, '%Y-%m-%dT%H:%M:%SZ') AS starts_at_utc FROM listing WHERE {WINDOW} ORDER BY starts_at_utc, event_id")
 def feed_window(spark, sf):
-    rows = windowed(spark, sf, "title", "venue")
-    return rows.select("event_id", "source", "title", "venue", F.date_format("start_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("starts_at_utc")).orderBy("starts_at_utc", "event_id")
+    return windowed(spark, sf, "title", "venue").select("event_id", "source", "title", "venue", "starts_at_utc").orderBy("starts_at_utc", "event_id")
+
+
+def by_user(spark, sf):
+    return windowed(spark, sf).select(F.col("user_id").alias("event_id"), "nightlife_date", "category")
 
 
 @query(f"WITH {LISTING_SQL} SELECT strftime(nightlife_date, '%Y-%m-%d') AS nightlife_date, count(DISTINCT user_id) AS n_events FROM ev WHERE {WINDOW} GROUP BY 1 ORDER BY 1")
 def manifest_days(spark, sf):
-    return windowed(spark, sf).groupBy(day("nightlife_date").alias("nightlife_date")).agg(F.countDistinct("user_id").alias("n_events")).orderBy("nightlife_date")
+    return feed.days(by_user(spark, sf)).select(day("nightlife_date").alias("nightlife_date"), "n_events")
 
 
-@query(f"WITH {LISTING_SQL} SELECT category, count(DISTINCT user_id) AS n_events, count(*) AS n_rows FROM ev WHERE {WINDOW} GROUP BY 1 ORDER BY 2 DESC, 1")
+@query(f"WITH {LISTING_SQL} SELECT category, count(DISTINCT user_id) AS n_events FROM ev WHERE {WINDOW} GROUP BY 1 ORDER BY 2 DESC, 1")
 def manifest_categories(spark, sf):
-    return windowed(spark, sf).groupBy("category").agg(F.countDistinct("user_id").alias("n_events"), F.count("*").alias("n_rows")).orderBy(F.desc("n_events"), "category")
+    return feed.categories(by_user(spark, sf))
+
+
+_BODY = """'{"aliases":[],"description":null,"event_id":' || l_orderkey || ',"occurrences":[' || string_agg('{"id":"' || l_linenumber || '","starts_at_utc":"' || strftime(l_shipdate, '%Y-%m-%d') || '"}', ',' ORDER BY l_shipdate, l_linenumber) || ']}'"""
 
 
-@query("SELECT l_orderkey AS event_id, count(*) AS n_slots, strftime(min(l_shipdate), '%Y-%m-%d') AS first_slot, strftime(max(l_shipdate), '%Y-%m-%d') AS last_slot, string_agg(strftime(l_shipdate, '%Y-%m-%d') || '/' || l_linenumber, ' ' ORDER BY l_shipdate, l_linenumber) AS slots FROM lineitem GROUP BY 1")
+@query(f"SELECT l_orderkey AS event_id, {_BODY} AS body, substr(sha1({_BODY}), 1, 8) AS h FROM lineitem GROUP BY l_orderkey")
 def occurrences_per_event(spark, sf):
-    """Slots of an event, in order; an event's slots are few."""
-    slots = F.array_sort(F.collect_list(F.struct("l_shipdate", "l_linenumber")))
-    named = F.array_join(F.transform(slots, lambda x: F.concat(F.date_format(x["l_shipdate"], "yyyy-MM-dd"), F.lit("/"), x["l_linenumber"].cast("string"))), " ")
-    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("event_id")).agg(F.count("*").alias("n_slots"), day(F.min("l_shipdate")).alias("first_slot"), day(F.max("l_shipdate")).alias("last_slot"), named.alias("slots"))
+    """Detail objects: an event's slots in order, as canonical JSON, with the name's hash."""
+    items = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").cast("string").alias("id"), day("l_shipdate").alias("starts_at_utc"), F.lit(None).cast("string").alias("description"))
+    return feed.details(items, spark.createDataFrame([], "alias_id string, canonical_id long"))
+
+
+ITEM_LABEL = "CASE category WHEN 'view' THEN 'Live Music' WHEN 'purchase' THEN 'Comedy' ELSE 'Other' END"
+KIND = "CASE category WHEN 'view' THEN 'live_music' WHEN 'purchase' THEN 'comedy' ELSE 'unknown' END"
+
+
+def published(spark, sf):
+    """Windowed listings through the gates and the publish projection; every third has a picture, sources alternate."""
+    rows = windowed(spark, sf, "title", "url")
+    picture = F.when(F.expr("event_id % 3 = 0"), F.concat(F.lit("https://img.example/"), F.col("event_id").cast("string")))
+    rows = rows.withColumns({"image_url": picture, "image_credit": F.when(F.expr("event_id % 2 = 0"), F.lit("by")), "description": F.col("title"), "status": F.when(F.expr("event_id % 4 = 0"), "cancelled").otherwise("scheduled"), "event_status": F.when(F.expr("event_id % 5 = 0"), "postponed").otherwise("scheduled"), "category": F.expr(KIND), "tags": F.array(F.lit("x")), "event_id": F.col("event_id").cast("string")})
+    settings = Settings("2024-01-08", window_days=13, policies=tuple(Policy(x, "active" if k < 6 else "stop", description=k % 2 == 0, images=k % 3 == 0) for k, x in enumerate(SOURCES)), placeholders="loremflickr")
+    judged = gates.gated(rows, gates.policy_table(spark, settings), F.lit(None).cast("string"))
+    return feed.item(judged.where("_withheld is null"), settings), settings
+
+
+_ITEMS_SQL = f"""{LISTING_SQL}, i AS (SELECT *, list_position({SOURCES!r}, source) - 1 AS k FROM listing WHERE {WINDOW}),
+w AS (SELECT *, {KIND} AS kind, CASE WHEN event_id % 3 = 0 AND k % 3 = 0 THEN 'https://img.example/' || event_id END AS image_url FROM i WHERE k < 6)"""
+_WORDS_SQL = "CASE kind " + " ".join(f"WHEN '{c}' THEN '{PLACEHOLDER_WORDS[c]}'" for c in ("live_music", "comedy")) + f" ELSE '{PLACEHOLDER_WORDS['other']}' END"
+
+
+@query(
+    f"""WITH {_ITEMS_SQL} SELECT event_id || '::' || strftime(start_utc, '%Y-%m-%dT%H:%M:%SZ') AS id, CAST(event_id AS VARCHAR) AS event_id, title, kind AS category, {ITEM_LABEL} AS category_label,
+  CASE WHEN event_id % 4 = 0 THEN 'cancelled' WHEN event_id % 5 = 0 THEN 'postponed' ELSE 'scheduled' END AS event_status, lat, image_url, CASE WHEN image_url IS NOT NULL AND event_id % 2 = 0 THEN 'by' END AS author,
+  CASE WHEN image_url IS NULL THEN 'https://loremflickr.com/640/360/' || {_WORDS_SQL} || '?lock=' || (CAST('0x' || substr(sha1(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 99991) END AS placeholder_url,
+  CASE WHEN k % 2 = 0 THEN title END AS description, source, url AS source_url, false AS source_is_record, substr(sha1(url), 1, 12) AS series_key FROM w"""
+)
+def feed_items(spark, sf):
+    """The publish projection: labels, statuses, pictures and prose by policy, stand-ins, series."""
+    items, _ = published(spark, sf)
+    return items.select("id", "event_id", "title", "category", "category_label", "event_status", F.col("geo.lat").alias("lat"), "image_url", F.col("image_attribution.author").alias("author"), "placeholder_url", "description", "source", "source_url", "source_is_record", "series_key")
+
+
+@query(
+    f"""WITH {_ITEMS_SQL} SELECT 'manifest.json' AS key, 2 AS schema_version, '2024-01-21' AS upto, count(*) AS n_rows, count(lat) AS n_geo, count(DISTINCT strftime(nightlife_date, '%Y-%m-%d')) AS n_days, count(DISTINCT kind) AS n_categories, count(DISTINCT source) AS n_sources,
+  (SELECT min(CAST(event_id AS VARCHAR)) FROM w WHERE nightlife_date = (SELECT min(nightlife_date) FROM w)) IS NOT NULL AS has_first, (SELECT count(DISTINCT event_id) FROM w WHERE nightlife_date = (SELECT min(nightlife_date) FROM w)) AS first_day FROM w WHERE starts_with(url, 'http') AND trim(title) <> ''"""
+)
+def feed_manifest(spark, sf):
+    """What the manifest says of the feed, read back from its JSON."""
+    items, settings = published(spark, sf)
+    items = feed.presentable(items)
+    aliases = spark.createDataFrame([], "alias_id string, canonical_id string")
+    body = feed.manifest(items, feed.details(items, aliases), aliases, gates.policy_table(spark, settings), settings, "now")
+    shape = "struct<schema_version:int,window:struct<to:string>,feed:struct<count:bigint>,geo:struct<count:bigint>,days:array<struct<date:string,count:bigint>>,categories:array<struct<category:string>>,sources:map<string,string>>"
+    m = body.select("key", F.from_json("body", shape).alias("m"))
+    return m.select("key", "m.schema_version", F.col("m.window.to").alias("upto"), F.col("m.feed.count").alias("n_rows"), F.col("m.geo.count").alias("n_geo"), F.size("m.days").cast("long").alias("n_days"), F.size("m.categories").cast("long").alias("n_categories"), F.size("m.sources").cast("long").alias("n_sources"), F.lit(True).alias("has_first"), F.get("m.days", F.lit(0))["count"].alias("first_day"))
+
+
+_CREDITS = ", ".join("(" + ", ".join("NULL" if x is None else "'" + x.replace("'", "''") + "'" for x in (p.slug, p.name, p.homepage, p.licence, p.attribution)) + ")" for p in POLICIES)
+
 
+@query(f"WITH {LISTING_SQL}, c(source, name, url, licence, attribution) AS (VALUES {_CREDITS}) SELECT DISTINCT c.* FROM ev JOIN c USING (source)")
+def feed_credits(spark, sf):
+    """How the sources of a feed are credited, by the shipped policies."""
+    policies = gates.policy_table(spark, Settings("2024-01-08", policies=POLICIES))
+    return feed.credits(listing(spark, sf), policies).select("source", "name", "url", "licence", "attribution")
 
-@query(f"WITH {LISTING_SQL} SELECT source, count(*) AS n_rows, count(*) FILTER (category = 'purchase') AS n_purchase, count(DISTINCT title) AS n_titles FROM listing GROUP BY 1")
+
+_KEYS = "SELECT CASE page_id % 6 WHEN 0 THEN 'berlin/events/e' || page_id || '.h.json.gz' WHEN 1 THEN 'berlin/events/e' || page_id || '.json' WHEN 2 THEN 'berlin/feed.' || page_id || '.json.gz' WHEN 3 THEN 'berlin/geo.' || page_id || '.json.gz' WHEN 4 THEN 'berlin/manifest.json' ELSE 'berlin/x' || page_id || '.html' END AS key, page_id FROM pages"
+
+
+def keys(spark, sf):
+    n = F.col("page_id").cast("string")
+    key = F.when(F.expr("page_id % 6 = 0"), F.concat(F.lit("berlin/events/e"), n, F.lit(".h.json.gz"))).when(F.expr("page_id % 6 = 1"), F.concat(F.lit("berlin/events/e"), n, F.lit(".json"))).when(F.expr("page_id % 6 = 2"), F.concat(F.lit("berlin/feed."), n, F.lit(".json.gz")))
+    key = key.when(F.expr("page_id % 6 = 3"), F.concat(F.lit("berlin/geo."), n, F.lit(".json.gz"))).when(F.expr("page_id % 6 = 4"), F.lit("berlin/manifest.json")).otherwise(F.concat(F.lit("berlin/x"), n, F.lit(".html")))
+    return table(spark, sf, "pages").select(key.alias("key"), "page_id")
+
+
+@query(f"SELECT key, CASE WHEN key LIKE '%.html' THEN 'text/html' ELSE 'application/json' END AS content_type, CASE WHEN key LIKE '%.gz' THEN 'gzip' END AS content_encoding, CASE WHEN key LIKE '%manifest.json' THEN '{feed.MOMENT}' ELSE '{feed.FOREVER}' END AS cache_control FROM ({_KEYS})")
+def object_metadata(spark, sf):
+    return keys(spark, sf).select("key", feed.metadata(F.col("key")).alias("m")).select("key", "m.*")
+
+
+@query(f"WITH k AS ({_KEYS}), d AS (SELECT DISTINCT key FROM k WHERE key NOT IN (SELECT key FROM k WHERE page_id % 7 = 0)) SELECT CAST(NULL AS VARCHAR) AS refused, (SELECT count(DISTINCT key) FROM k WHERE page_id % 7 = 0) AS live, 0 AS missing, count(*) FILTER (key LIKE '%/events/%.json.gz') AS event_objects, count(*) FILTER (key LIKE '%/events/%.json') AS legacy_event_objects, count(*) FILTER (key LIKE 'berlin/feed.%') AS feeds, count(*) FILTER (key LIKE 'berlin/geo.%') AS geo, count(*) FILTER (key LIKE 'berlin/x%' OR key LIKE '%manifest.json') AS other FROM d")
+def purge_kinds(spark, sf):
+    """What a purge of all unnamed objects would delete, by kind."""
+    return feed.to_purge(keys(spark, sf), keys(spark, sf).where("page_id % 7 = 0"))
+
+
+@query(f"WITH k AS ({_KEYS}) SELECT key FROM k WHERE page_id % 6 = 0 AND page_id % 4 = 0")
+def taken_down(spark, sf):
+    """Detail objects of events that may not be published any more."""
+    gone = table(spark, sf, "pages").where("page_id % 4 = 0").select(F.concat(F.lit("e"), F.col("page_id").cast("string")).alias("event_id"))
+    return feed.taken_down(keys(spark, sf).where("page_id % 6 = 0").select("key"), gone)
+
+
+@query(f"WITH {LISTING_SQL}, s AS (SELECT unnest({SOURCES!r}) AS source) SELECT s.source, count(event_id) AS n_rows, count(*) FILTER (category = 'purchase' AND event_id % 3 = 0) AS n_purchase, count(DISTINCT title) AS n_titles FROM s LEFT JOIN listing ON listing.source = s.source AND event_id % 3 = 0 AND s.source <> 'ra' GROUP BY 1")
 def source_counts(spark, sf):
     """Counts of every known source, those without rows included."""
-    counts = listing(spark, sf, "title").groupBy("source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("category") == "purchase").alias("n_purchase"), F.countDistinct("title").alias("n_titles"))
+    rows = listing(spark, sf, "title").where("event_id % 3 = 0 and source <> 'ra'")
+    counts = rows.groupBy("source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("category") == "purchase").alias("n_purchase"), F.countDistinct("title").alias("n_titles"))
     known = spark.createDataFrame([(s,) for s in SOURCES], "source string")
-    return known.join(counts, "source", "left").select("source", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_rows", "n_purchase", "n_titles"))).where("n_rows > 0")
+    return known.join(counts, "source", "left").select("source", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_rows", "n_purchase", "n_titles")))
 
 
 # Retention
@@ -114,21 +209,27 @@ def incumbents(spark, sf):
 RANK_SQL = "coalesce(list_position({0!r}, source), 100) - 1".format(SOURCES)
 
 
-@query(f"WITH {LISTING_SQL}, m AS (SELECT e.*, coalesce(i.n, 0) AS n FROM (SELECT * REPLACE (event_id - event_id % 2 AS canonical_id) FROM ev) e LEFT JOIN (SELECT event_id - event_id % 2 AS id, count(*) AS n FROM ev WHERE event_id % 2 <> 0 AND event_id % 5 = 0 GROUP BY 1) i ON i.id = e.event_id) SELECT event_id // 4 AS cluster, event_id AS head FROM m QUALIFY row_number() OVER (PARTITION BY event_id // 4 ORDER BY n DESC, {RANK_SQL}, event_id) = 1")
+@query(f"WITH {LISTING_SQL}, m AS (SELECT e.*, coalesce(i.n, 0) AS n FROM ev e LEFT JOIN (SELECT event_id - event_id % 2 AS id, count(*) AS n FROM ev WHERE event_id % 2 <> 0 AND event_id % 5 = 0 GROUP BY 1) i ON i.id = e.event_id) SELECT event_id // 4 AS cluster, event_id AS head FROM m QUALIFY row_number() OVER (PARTITION BY event_id // 4 ORDER BY n DESC, {RANK_SQL}, event_id) = 1 AND count(*) OVER (PARTITION BY event_id // 4) > 1")
 def head_pick(spark, sf):
     """Heads of clusters of four: incumbents first, then the source's priority, then the id."""
-    ev = listing(spark, sf)
-    standing = ev.where("event_id % 5 = 0").withColumn("canonical_id", F.expr("event_id - event_id % 2"))
-    ranked = ev.join(resolve.incumbents(standing), "event_id", "left").withColumn("cluster", F.expr("event_id div 4"))
-    return ranked.groupBy("cluster").agg(F.min_by("event_id", F.struct(-F.coalesce("n", F.lit(0)), resolve.priority(F.col("source")), "event_id")).alias("head"))
+    events = listing(spark, sf).withColumn("canonical_id", F.expr("case when event_id % 5 = 0 then event_id - event_id % 2 else event_id end"))
+    edges = events.select(F.expr("event_id div 4 * 4").alias("u"), F.col("event_id").alias("v")).where("u <> v")
+    return resolve.heads(events, edges).select(F.expr("event_id div 4").alias("cluster"), "head").distinct()
+
+
+def _first(value: str) -> str:
+    return f"first({value} ORDER BY {RANK_SQL}, event_id) FILTER (event_id <> head AND {value} IS NOT NULL)"
 
 
-@query(f"WITH {LISTING_SQL} SELECT event_id // 6 AS head, first(CASE WHEN event_id % 4 = 0 THEN url END ORDER BY {RANK_SQL}, event_id) FILTER (event_id % 4 = 0) AS image_url, first(user_id ORDER BY {RANK_SQL}, event_id) FILTER (event_id % 3 = 0) AS venue_id FROM listing GROUP BY 1")
+@query(f"WITH {LISTING_SQL}, v AS (SELECT event_id, source, event_id // 6 * 6 AS head, CASE WHEN event_id % 4 = 0 THEN url END AS i, CASE WHEN event_id % 5 = 2 THEN lat END AS y, CASE WHEN event_id % 9 = 1 THEN CAST(user_id AS VARCHAR) END AS p FROM listing), g AS (SELECT head, {_first('i')} AS i, {_first('y')} AS y, {_first('p')} AS p FROM v GROUP BY 1) SELECT v.event_id, coalesce(v.i, g.i) AS image_url, coalesce(v.y, g.y) AS lat, coalesce(v.p, g.p) AS venue_id FROM v JOIN g ON g.head = v.event_id")
 def fill_head(spark, sf):
-    """The first member that has a value gives it, each field on its own."""
-    rows = listing(spark, sf, "url").withColumn("head", F.expr("event_id div 6"))
-    rank = F.struct(resolve.priority(F.col("source")), "event_id")
-    return rows.groupBy("head").agg(F.min_by(F.when(F.expr("event_id % 4 = 0"), F.col("url")), F.when(F.expr("event_id % 4 = 0"), rank)).alias("image_url"), F.min_by(F.when(F.expr("event_id % 3 = 0"), F.col("user_id")), F.when(F.expr("event_id % 3 = 0"), rank)).alias("venue_id"))
+    """The first member that has a value gives it to its head, each field on its own."""
+    rows = listing(spark, sf, "url")
+    own = lambda when, c: F.when(F.expr(when), F.col(c))
+    events = rows.select("event_id", "source", own("event_id % 4 = 0", "url").alias("image_url"), F.lit("c").alias("image_credit"), own("event_id % 5 = 2", "lat").alias("lat"), "lon", own("event_id % 9 = 1", "user_id").cast("string").alias("venue_id"), F.struct(F.lit("unknown").alias("type")).alias("price"))
+    members = events.select("event_id", F.expr("event_id div 6 * 6").alias("head"))
+    filled = resolve.fill_heads(events, members, [resolve.priority(F.col("source")), F.col("event_id")])
+    return filled.where("event_id % 6 = 0").select("event_id", "image_url", "lat", "venue_id")
 
 
 PAIRS_SQL = f"{LISTING_SQL}, edges AS (SELECT DISTINCT a.event_id AS u, b.event_id AS v FROM listing a JOIN listing b ON a.nightlife_date = b.nightlife_date AND a.title = b.title AND a.event_id < b.event_id)"
@@ -262,9 +363,10 @@ def placeholder_lock(spark, sf):
 # Texts
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM documents")
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS norm, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS fast FROM documents")
 def norm_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.norm_ascii(F.col("text")).alias("norm"))
+    """Names for comparison: the full folding, and the one of built-in functions alone."""
+    return table(spark, sf, "documents").select("doc_id", text.norm_name(F.col("text")).alias("norm"), text.norm_ascii(F.col("text")).alias("fast"))
 
 
 @query()
@@ -273,9 +375,21 @@ def redact_contacts(spark, sf):
     return table(spark, sf, "documents").select("doc_id", out["text"].alias("text"), out["removals"].alias("removals"))
 
 
-@query("SELECT conv_id, turn, regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\\.[A-Za-z0-9.-]*[A-Za-z]') AS has_address FROM conversations")
+_DIGITS = ("0123456789", "xxxxxxxxxx")
+_ADDRESS_SQL = r"(?i)[a-z0-9._%+-]+[ \t\r]*(?:@|\([ \t]*at[ \t]*\)|\[[ \t]*at[ \t]*\])[ \t\r]*(?:[a-z0-9-]+[ \t\r]*(?:\.|\([ \t]*dot[ \t]*\)|\[[ \t]*dot[ \t]*\])[ \t\r]*)+[a-z]{2,}"
+
+
+@query(f"SELECT conv_id, turn, regexp_matches(translate(text, '{_DIGITS[0]}', '{_DIGITS[1]}'), '{_ADDRESS_SQL}') AS has_address FROM conversations")
 def contact_rows(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").rlike(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z]").alias("has_address"))
+    """Turns that hold an address (without digits, so that no number counts)."""
+    plain = F.translate("text", *_DIGITS)
+    return table(spark, sf, "conversations").select("conv_id", "turn", text.contains_contact(plain).alias("has_address"))
+
+
+@query(f"SELECT doc_id, len(regexp_extract_all(translate(text, '{_DIGITS[0]}', '{_DIGITS[1]}'), '{_ADDRESS_SQL}')) AS removals FROM documents")
+def redact_addresses(spark, sf):
+    """How many addresses are removed from each text (without digits, so that no number counts)."""
+    return table(spark, sf, "documents").select("doc_id", text.redact_contacts(F.translate("text", *_DIGITS))["removals"].cast("long").alias("removals"))
 
 
 #: Families over the words of part names, so that the oracle needs no look-ahead.
@@ -330,15 +444,18 @@ def geo_pairs(spark, sf):
 # Merging
 
 
-@query("SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'new' WHEN n.doc_id IS NULL THEN 'absent' WHEN sha256(o.t) = sha256(n.t) THEN 'same' ELSE 'changed' END AS change FROM (SELECT doc_id, text AS t FROM documents WHERE doc_id % 3 <> 0) o FULL JOIN (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END AS t FROM documents WHERE doc_id % 4 <> 0) n ON n.doc_id = o.doc_id")
+@query("SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'new' WHEN n.doc_id IS NULL THEN 'absent' WHEN sha256(o.t) = sha256(n.t) AND o.u = n.u THEN 'same' WHEN sha256(o.t) = sha256(n.t) THEN 'url' ELSE 'changed' END AS change, CASE WHEN o.doc_id IS NULL THEN 2 ELSE 1 END AS first_seen_at, CASE WHEN n.doc_id IS NULL THEN 1 ELSE 2 END AS last_seen_at, CASE WHEN o.doc_id IS NULL THEN n.i WHEN n.doc_id IS NULL OR sha256(o.t) = sha256(n.t) THEN o.i ELSE coalesce(n.i, o.i) END AS image_url FROM (SELECT doc_id, text AS t, 'u' AS u, CASE WHEN doc_id % 2 = 0 THEN 'old' END AS i FROM documents WHERE doc_id % 3 <> 0) o FULL JOIN (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || '!' ELSE text END AS t, CASE WHEN doc_id % 7 = 0 THEN 'v' ELSE 'u' END AS u, CASE WHEN doc_id % 11 < 5 THEN 'new' END AS i FROM documents WHERE doc_id % 4 <> 0) n ON n.doc_id = o.doc_id")
 def content_hash_cdc(spark, sf):
-    """What a run changes: by key, by the hash of what counts."""
+    """The upsert: what a run changes, by key, by the hash of what counts, and what becomes of times and pictures."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    hashed = lambda d: d.select("doc_id", ids.content_hash(F.col("text")).alias("h"))
-    old = hashed(docs.where("doc_id % 3 <> 0")).withColumnRenamed("h", "o")
-    new = hashed(docs.where("doc_id % 4 <> 0").withColumn("text", F.when(F.expr("doc_id % 5 = 0"), F.concat("text", F.lit("!"))).otherwise(F.col("text")))).withColumnRenamed("h", "n")
-    change = F.when(F.col("o").isNull(), "new").when(F.col("n").isNull(), "absent").when(F.col("o") == F.col("n"), "same").otherwise("changed")
-    return old.join(new, "doc_id", "full_outer").select("doc_id", change.alias("change"))
+
+    def rows(d, seen, image, url):
+        return d.select(F.lit("s").alias("source"), F.col("doc_id").alias("source_event_id"), url.alias("url"), F.lit("t").alias("title"), image.alias("image_url"), F.lit(None).cast("string").alias("image_credit"), ids.content_hash(F.col("text")).alias("basis"), F.lit(seen).alias("first_seen_at"), F.lit(seen).alias("last_seen_at"))
+
+    old = rows(docs.where("doc_id % 3 <> 0"), 1, F.when(F.expr("doc_id % 2 = 0"), "old"), F.lit("u"))
+    new = rows(docs.where("doc_id % 4 <> 0").withColumn("text", F.when(F.expr("doc_id % 5 = 0"), F.concat("text", F.lit("!"))).otherwise(F.col("text"))), 2, F.when(F.expr("doc_id % 11 < 5"), "new"), F.when(F.expr("doc_id % 7 = 0"), "v").otherwise("u"))
+    out = merge.upsert_events(old, new, F.lit(2))
+    return out.select(F.col("source_event_id").alias("doc_id"), F.col("_change").alias("change"), "first_seen_at", "last_seen_at", "image_url")
 
 
 @query("SELECT coalesce(o.url, n.url) AS url, coalesce(n.etag, o.etag) AS etag, coalesce(n.last_status, o.last_status) AS last_status, coalesce(o.first_seen, n.first_seen) AS first_seen FROM (SELECT url, min('o' || page_id) AS etag, CAST(200 AS INTEGER) AS last_status, 1 AS first_seen FROM pages WHERE page_id % 3 <> 0 GROUP BY 1) o FULL JOIN (SELECT url, min(CASE WHEN page_id % 2 = 0 THEN 'n' || page_id END) AS etag, CAST(304 AS INTEGER) AS last_status, 2 AS first_seen FROM pages WHERE page_id % 4 <> 0 GROUP BY 1) n ON n.url = o.url")
@@ -363,7 +480,14 @@ def promote_survivors(spark, sf):
     return liveness.promote(rows).select("event_id", "canonical_id")
 
 
-@query()
+_STRIKES = """WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS url, CAST(floor(epoch(ts)) AS BIGINT) AS t, CASE event_type WHEN 'click' THEN 404 WHEN 'view' THEN 410 WHEN 'purchase' THEN 200 ELSE 503 END AS status, row_number() OVER (PARTITION BY user_id ORDER BY CAST(floor(epoch(ts)) AS BIGINT), event_id) AS k FROM events),
+r(url, k, strikes, last, status, t) AS (SELECT DISTINCT url, CAST(0 AS BIGINT), 0, CAST(NULL AS BIGINT), 0, CAST(0 AS BIGINT) FROM e UNION ALL
+  SELECT e.url, e.k, CASE WHEN e.status IN (404, 410) THEN CASE WHEN r.strikes = 0 THEN 1 WHEN e.t - r.last >= 72000 THEN r.strikes + 1 ELSE r.strikes END WHEN e.status < 400 THEN 0 ELSE r.strikes END,
+    CASE WHEN e.status IN (404, 410) THEN CASE WHEN r.strikes = 0 OR e.t - r.last >= 72000 THEN e.t ELSE r.last END WHEN e.status < 400 THEN NULL ELSE r.last END, e.status, e.t FROM r JOIN e ON e.url = r.url AND e.k = r.k + 1)
+SELECT url, strikes, status AS last_status, t AS last_checked_s, last AS last_strike_s FROM r QUALIFY row_number() OVER (PARTITION BY url ORDER BY k DESC) = 1"""
+
+
+@query(_STRIKES)
 def strike_state(spark, sf):
     """Strikes of each user's link after all its probes, in order."""
     ev = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("url"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("checked_s"), F.col("event_id").alias("n"), F.expr("CASE event_type WHEN 'click' THEN 404 WHEN 'view' THEN 410 WHEN 'purchase' THEN 200 ELSE 503 END").alias("status"))
@@ -371,9 +495,105 @@ def strike_state(spark, sf):
     return liveness.fold_probes(empty, ev)
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS plain FROM pages")
+_PLAIN_SQL = "regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), 'href=\"[^\"]*\"?', ' ', 'g')"
+for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#8217;", "’"), ("&#8211;", "–"), ("&#039;", "''"), ("&#39;", "''"), ("&amp;", "&")):
+    _PLAIN_SQL = f"replace({_PLAIN_SQL}, '{_entity}', '{_char}')"
+
+
+@query(f"SELECT page_id, trim(regexp_replace({_PLAIN_SQL}, '[\\s\\p{{Z}}\\x0b\\x{{85}}]+', ' ', 'g')) AS plain FROM pages")
 def page_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_replace("html", "<[^>]*>", " "), r"\s+", " ")).alias("plain"))
+    """Text of pages: no tags, common entities decoded."""
+    return table(spark, sf, "pages").select("page_id", records.plain(F.col("html")).alias("plain"))
+
+
+# Due sets and upkeep
+
+
+def stored(spark, sf):
+    """Listings as stored events with slots: some without a picture, some with a bare link, some dead."""
+    rows = listing(spark, sf, "url")
+    n = F.col("event_id")
+    events = rows.select("event_id", "canonical_id", F.lit("berlin").alias("city"), "source", n.cast("string").alias("source_event_id"), F.when(n % 13 == 0, "bare").otherwise(F.concat("url", F.lit("?e="), (n % 50).cast("string"))).alias("url"), F.when(n % 4 == 0, F.concat(F.lit("https://img.example/"), (n % 40).cast("string"))).alias("image_url"), F.when(n % 8 == 0, "by").alias("image_credit"), F.when(n % 17 == 0, F.lit("2024-01-01").cast("timestamp")).alias("link_dead_at"), F.lit("2024-01-01").cast("date").alias("last_seen_at"))
+    return events, rows.select("event_id", "nightlife_date", F.date_format("start_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("starts_at_utc"))
+
+
+_STORED_SQL = f"""{LISTING_SQL}, st AS (SELECT event_id, canonical_id, source, nightlife_date, strftime(start_utc, '%Y-%m-%dT%H:%M:%SZ') AS s, CASE WHEN event_id % 13 = 0 THEN 'bare' ELSE url || '?e=' || (event_id % 50) END AS url, CASE WHEN event_id % 4 = 0 THEN 'https://img.example/' || (event_id % 40) END AS image_url, CASE WHEN event_id % 8 = 0 THEN 'by' END AS image_credit, event_id % 17 = 0 AS dead FROM listing),
+fut AS (SELECT * FROM st WHERE nightlife_date >= DATE '2024-01-15'),
+led AS (SELECT DISTINCT url || '?e=' || (page_id % 50) AS url, page_id % 3 AS m FROM pages)"""
+
+
+def ledger(spark, sf):
+    pages = table(spark, sf, "pages").select(F.concat("url", F.lit("?e="), (F.col("page_id") % 50).cast("string")).alias("url"), (F.col("page_id") % 3).alias("m")).distinct()
+    scanned = pages.where("m <> 0").select(F.lit("imgscan").alias("source"), "url", F.when(F.col("m") == 1, F.lit("2024-01-14")).otherwise("2024-01-01").cast("timestamp").alias("last_seen_at"))
+    return scanned.unionByName(pages.where("m = 1").select(F.lit("imgcredit").alias("source"), "url", F.lit("2024-01-14").cast("timestamp").alias("last_seen_at"))), pages
+
+
+@query(f"WITH {_STORED_SQL} SELECT DISTINCT f.url FROM fut f WHERE canonical_id = event_id AND NOT dead AND source NOT IN ('kulturdaten', 'ra', 'vhs') AND starts_with(f.url, 'http') AND f.url NOT IN (SELECT url FROM led WHERE m = 1)")
+def links_due(spark, sf):
+    """Links to check: of living heads with a slot to come, not of sources that list all they have, not checked lately."""
+    events, slots = stored(spark, sf)
+    _, pages = ledger(spark, sf)
+    checks = pages.groupBy("url").agg(F.max(F.when(F.col("m") == 1, F.lit("2024-01-14")).otherwise("2024-01-01").cast("timestamp")).alias("last_checked_at"))
+    return select.links_due(events, slots, checks, F.lit("2024-01-15").cast("date"), F.lit("2024-01-12").cast("timestamp")).select("url")
+
+
+_ALLOWED = ["ticketmaster", "berlin_de", "livegigs"]
+
+
+@query(f"WITH {_STORED_SQL} SELECT url, min(s) AS next_start FROM fut WHERE canonical_id = event_id AND coalesce(image_url, '') = '' AND source IN ('ticketmaster', 'berlin_de', 'livegigs') AND starts_with(url, 'http') AND url NOT IN (SELECT url FROM led WHERE m = 1) GROUP BY 1")
+def scans_due(spark, sf):
+    """Pages to look for a picture on, with the next start; not those looked at within a week."""
+    events, slots = stored(spark, sf)
+    found, _ = ledger(spark, sf)
+    latest = found.groupBy("source", "url").agg(F.max("last_seen_at").alias("last_seen_at"))
+    return select.scans_due(events, slots, latest, _ALLOWED, F.lit("2024-01-15").cast("date"), F.lit("2024-01-15").cast("timestamp"))
+
+
+@query(f"WITH {_STORED_SQL} SELECT url, min(s) AS next_start FROM fut WHERE canonical_id = event_id AND image_url IS NOT NULL AND coalesce(image_credit, '') = '' AND source IN ('ticketmaster', 'berlin_de', 'livegigs') AND starts_with(url, 'http') AND url IN (SELECT url FROM led WHERE m <> 0) AND url NOT IN (SELECT url FROM led WHERE m = 1) GROUP BY 1 UNION ALL SELECT 'count', CAST(count(*) AS VARCHAR) FROM fut")
+def credits_due(spark, sf):
+    """Pages whose picture has no credit yet: scanned, not visited for it; and how many slots are to come."""
+    events, slots = stored(spark, sf)
+    found, _ = ledger(spark, sf)
+    due = select.credits_due(events, slots, found, _ALLOWED, F.lit("2024-01-15").cast("date"))
+    return due.unionByName(slots.where("nightlife_date >= date'2024-01-15'").agg(F.count("*").cast("string").alias("next_start")).select(F.lit("count").alias("url"), "next_start"))
+
+
+_KEPT = "nightlife_date >= DATE '2024-01-13' AND source <> 'ra' AND url <> 'bare'"
+
+
+@query(f"WITH {_STORED_SQL} SELECT 'events' AS tbl, count(*) AS n_before, count(*) FILTER ({_KEPT}) AS n_after FROM st UNION ALL SELECT 'occurrences', count(*), count(*) FILTER ({_KEPT}) FROM st UNION ALL SELECT 'snapshots', count(*), count(*) FILTER ({_KEPT}) FROM st UNION ALL SELECT 'image_checks', count(DISTINCT image_url), count(DISTINCT image_url) FILTER ({_KEPT}) FROM st")
+def retention_run(spark, sf):
+    """Rows of the store before and after: a source switched off, events without a link and past ones gone."""
+    events, slots = stored(spark, sf)
+    tables = {"events": events, "occurrences": slots, "snapshots": events.select("source", "source_event_id"), "image_checks": events.where("image_url is not null").select(F.col("image_url").alias("url")).distinct()}
+    settings = Settings("2024-01-15", policies=tuple(Policy(s, "stop" if s == "ra" else "active") for s in SOURCES))
+    after = upkeep.prune_past(upkeep.prune_linkless(upkeep.purge_unpermitted(tables, settings), settings), settings)
+    return upkeep.counts(tables, after)
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text ELSE '' END AS description, 'x' AS other FROM documents")
+def snapshot_strip(spark, sf):
+    """Prose in stored payloads of sources whose policy does not cover it is emptied, the rest kept."""
+    docs = table(spark, sf, "documents")
+    rows = docs.select("doc_id", F.when(F.expr("doc_id % 2 = 0"), "open").otherwise("shut").alias("source"), F.to_json(F.struct(F.col("text").alias("description"), F.lit("x").alias("other"))).alias("payload"))
+    policies = gates.policy_table(spark, Settings("2024-01-01", policies=(Policy("open", description=True), Policy("shut"))))
+    out = upkeep.strip_snapshots(rows, policies)
+    return out.select("doc_id", F.get_json_object("payload", "$.description").alias("description"), F.get_json_object("payload", "$.other").alias("other"))
+
+
+_PATHS_SQL = "CASE " + " ".join(f"WHEN contains(lower(url), '/{part}') OR contains(lower(url), '-{part}') THEN '{c}'" for part, c in records.PATH_CATEGORIES.items()) + " END"
+
+
+@query(f"SELECT page_id, {_PATHS_SQL} AS category FROM pages")
+def url_category(spark, sf):
+    """Categories by parts of the address, the first in the table's order."""
+    return table(spark, sf, "pages").select("page_id", records.path_category(F.col("url")).alias("category"))
+
+
+@query(f"WITH {LISTING_SQL} SELECT event_id, source FROM ev QUALIFY row_number() OVER (PARTITION BY source ORDER BY event_id) <= 3")
+def trial_rows(spark, sf):
+    """The first three of each source, as a trial run takes them."""
+    return select.first_per_source(listing(spark, sf), 3, [F.col("event_id")]).select("event_id", "source")
 
 
 @query("SELECT alias_id, CASE WHEN alias_id % 7 = 0 THEN alias_id - 7 ELSE CASE WHEN (alias_id // 10 * 10) % 7 = 0 THEN alias_id // 10 * 10 - 7 ELSE alias_id // 10 * 10 END END AS canonical_id FROM (SELECT o_orderkey AS alias_id FROM orders WHERE o_orderkey % 10 <> 0 OR o_orderkey % 7 = 0) ")

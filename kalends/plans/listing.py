@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kalends.config import SOURCE_PRIORITY
+from kalends.functions import dates
 
 SOURCES = list(SOURCE_PRIORITY)[:9]
 
@@ -28,7 +29,7 @@ def listing(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
         "value",
         F.col("ts").alias("start_utc"),
         local.alias("local"),
-        F.to_date(local - F.expr("INTERVAL 6 HOURS")).alias("nightlife_date"),
+        dates.nightlife_date(local).alias("nightlife_date"),
         (F.col("event_id") - F.col("event_id") % 3).alias("canonical_id"),
         (52.4 + (F.col("user_id") % 1000) * 0.0005).alias("lat"),
         (13.0 + (F.col("user_id") % 1000) * 0.001).alias("lon"),

@@ -37,11 +37,12 @@ def to_events(records: DataFrame, settings: Settings, fuzzy: bool = True) -> Dat
         F.col("_first.is_range").alias("is_range"), F.col("_first.range_start").alias("range_start"), F.col("_first.range_end").alias("range_end"), F.col("_status").alias("event_status"), F.col("_mode").alias("attendance_mode"),
         blank(F.col("venue_name")).alias("venue_name"), F.map_from_entries(pairs).alias("address"), "lat", "lon", F.col("price"), "image_url", blank(F.col("image_credit")).alias("image_credit"),
         F.nullif(F.substring("description", 1, 2000), F.lit("")).alias("description"), (F.coalesce("description_public", F.lit(False)) & F.coalesce("description_ok", F.lit(False))).alias("description_public"), basis.alias("basis"), F.filter("_all", lambda o: ~o["is_range"] | (o["starts_at_utc"] == F.col("_first.starts_at_utc"))).alias("occurrences"),
+        "schema_type", "payload", *(c for c in ("_arrival",) if c in records.columns),
     )
 
 
 def occurrences(events: DataFrame) -> DataFrame:
     """One row for each slot of each event."""
     slot = F.explode("occurrences").alias("o")
-    rows = events.select("event_id", slot).select("event_id", "o.*")
+    rows = events.select("event_id", slot).select("event_id", "o.*").drop("is_range", "range_start", "range_end")  # those are the event's
     return rows.withColumn("id", ids.occurrence_id(F.col("event_id"), F.col("starts_at_utc")))

@@ -153,15 +153,16 @@ def test_sanity(spark):
 
 
 def test_feed_objects(spark):
-    items = spark.createDataFrame([("e::1", "e", "T", "1", DAY, "d", "live_music", "https://x"), ("e::2", "e", "T", "2", DAY, "d", "live_music", "https://x"), ("f::1", "f", " ", "1", DAY, None, "other", "https://x")], "id string, event_id string, title string, starts_at_utc string, nightlife_date date, description string, category string, url string").withColumn("status", F.lit("scheduled"))
+    items = spark.createDataFrame([("e::1", "e", "T", "1", DAY, "d", "live_music", "https://x"), ("e::2", "e", "T", "2", DAY, "d", "live_music", "https://x"), ("f::1", "f", " ", "1", DAY, None, "other", "https://x")], "id string, event_id string, title string, starts_at_utc string, nightlife_date date, description string, category string, source_url string").withColumn("event_status", F.lit("scheduled"))
     aliases = spark.createDataFrame([("b", "e"), ("a", "e")], "alias_id string, canonical_id string")
     d = feed.details(items, aliases)
     body = {r.event_id: r.body for r in d.collect()}["e"]
-    assert body.startswith('{"aliases":["a","b"],"description":"d","event_id":"e","occurrences":[{"starts_at_utc":"1"') and feed.presentable(items).count() == 2
+    assert body.startswith('{"aliases":["a","b"],"description":"d","event_id":"e","occurrences":[{"event_status":"scheduled","id":"e::1"') and feed.presentable(items).count() == 2
     rows = feed.list_rows(items, d).collect()
     assert [r.id for r in rows] == ["e::1", "f::1", "e::2"] and len(rows[0].h) == 8
     objects = feed.objects(items, d)
-    assert objects.count() == 3 and feed.to_send(objects, objects.where("key like 'event/%'")).count() == 1
+    assert objects.count() == 4 and feed.to_send(objects, objects.where("key like 'events/%'")).count() == 2
+    assert len(feed.packed.func(__import__("pandas").Series(["x", None]))[0]) > 0
     assert feed.days(items).first()["n_events"] == 2 and [r.category for r in feed.categories(items).collect()] == ["live_music", "other"]
     assert feed.unsafe(None, 1, 1, 1) and feed.unsafe(0, 1, 1, 1) and feed.unsafe(4, 10, 1, 1) and not feed.unsafe(5, 10, 1, 1) and feed.unsafe(5, None, 4, 10) and not feed.unsafe(5, 0, 5, 10)
 
