@@ -10,12 +10,12 @@ from .common import BLANKS
 #: A document is rejected if the lines that fail hold more than this share of its word characters.
 MAX_LOST = 0.5
 
-#: Sentence ends, with closing quotes and brackets.
-ENDS = r"[.!?…:;][\"'”’»)\]]*\s*$"
+#: Sentence ends of Latin, Chinese, Japanese and Arabic script, with closing quotes and brackets.
+ENDS = r"[.!?…:;。！？؟][\"'”’»)\]」』）]*\s*$"
 #: Site furniture: two or more separators in a line.
 NAVIGATION = r"^(?:(?:[^|]*+\|){2}|(?:[^»›>]*+[»›>]){2}|(?:[^·•]*+[·•]){2})"
-#: Legal and interface text.
-BOILERPLATE = r"(?i)\b(?:all rights reserved|licen[sc]ed under|released under the|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|enable javascript|lorem ipsum|powered by|sign in|log in|subscribe to|click here|read more)\b"
+#: Legal and interface text in English, German, French and Spanish.
+BOILERPLATE = r"(?i)\b(?:all rights reserved|licen[sc]ed under|released under the|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|enable javascript|lorem ipsum|powered by|sign in|log in|subscribe to|click here|read more|alle rechte vorbehalten|datenschutzerkl[äa]rung|cookies verwenden|weiterlesen|mehr lesen|tous droits r[ée]serv[ée]s|lire la suite|en savoir plus|todos los derechos reservados|pol[íi]tica de privacidad|seguir leyendo)\b"
 #: Words closed by runs of symbols or by several exclamation marks.
 NOISE = r"[#*$%&<>]{2,}|[!?]{2,}"
 
@@ -36,7 +36,7 @@ def quality(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
 
     Returns doc_id, text (the cleaned one; null stays null), n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words (long), base_failed, kept, lost_chars, lines_failed. Lines that repeat an earlier line of the text
-    count as failed too. A null, empty or blank text has zeros, fails the base (fewer than 50 words) and is not kept.
+    count as failed too. The cleaned text holds the lines that passed, once each and without the empty lines between. A null, empty or blank text has zeros, fails the base (fewer than 50 words) and is not kept.
     Rows are judged one by one, so null doc_ids and repeated rows need no rule; other columns are ignored.
     """
     has_word = r"[^\x20\x09-\x0D]"

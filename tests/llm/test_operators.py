@@ -573,6 +573,8 @@ def test_quality_odd_rows_and_lines(spark):
     for r, (i, t) in zip(sorted(got, key=lambda r: (str(r.doc_id), r.n_words)), sorted(rows, key=lambda x: (str(x[0]), base_counts(x[1])[0]))):
         assert r.doc_id == i and (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base_counts(t)
     by = {r.doc_id: r for r in got}
+    marks = quality.quality(frame(spark, [(1, "完成了。"), (2, "هل انتهى؟"), (3, "Alle Rechte vorbehalten."), (4, "no end")])).collect()
+    assert {r.doc_id: r.lines_failed for r in marks} == {1: 0, 2: 0, 3: 1, 4: 1}
     assert by[30].kept and not by[31].kept and by[32].kept and "rights" not in by[32].text and by[32].lines_failed == 2 and by[2].text is None
     assert quality.quality(frame(spark, [])).collect() == []
 
@@ -743,6 +745,42 @@ def test_toxicity_learns_words_and_characters(spark):
     assert toxicity.score(frame(spark, []), model).collect() == []
 
 
+def test_scores_are_those_of_the_worst_window(spark):
+    """Whole-text scores against windows scored one by one, each step of the network written out."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["bad", "good", "vile", "Fine,", "x1", "tea"], int(n))) for n in (1, 5, 31, 32, 33, 60, 200)]
+    model = toxicity.train(["bad vile thing now", "good fine tea here"] * 20, [1, 0] * 20, epochs=3) | {"prior": 0.2}
+    p = model["p"]
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(token):
+        w = toxicity.plain(token)
+        ids, _ = toxicity.grams([w])
+        return p["word"][model["index"].get(w, 0)] + (p["gram"][ids].mean(axis=0) if len(ids) else 0)
+
+    def states(xs, d):
+        h, out, n = np.zeros(toxicity.HIDDEN), [], toxicity.HIDDEN
+        for x in xs:
+            g, u = x @ p[f"W{d}"] + p[f"b{d}"], h @ p[f"U{d}"]
+            z, r = sig(g[:n] + u[:n]), sig(g[n : 2 * n] + u[n : 2 * n])
+            new = np.tanh(g[2 * n :] + r * u[2 * n :])
+            h = (1 - z) * new + z * h
+            out.append(h)
+        return out
+
+    def window(tokens):
+        xs = [vector(t) for t in tokens]
+        s = np.array([np.concatenate(x) for x in zip(states(xs, "f"), states(xs[::-1], "b")[::-1])])
+        e = np.tanh(s @ p["A"] + p["a"]) @ p["u"]
+        w = np.exp(e - e.max())
+        return (w / w.sum()) @ s @ p["o"] + p["c"][0]
+
+    for r in toxicity.score(frame(spark, list(enumerate(texts))), model).collect():
+        tokens = r.text.split()
+        worst = max(window(tokens[a : a + toxicity.WINDOW]) for a in toxicity.windows(len(tokens)))
+        assert abs(r.score - sig(model["a"] * worst + model["b"])) < 1e-4
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     model = toxicity.fit(frame(spark, ODD), none)
