@@ -11,6 +11,7 @@ from kalends.config import RECORD_HOSTS, Settings
 from kalends.functions import text
 from kalends.operators import merge
 from kalends.operators.gates import policy_table
+from kalends.operators.graph import cut
 
 #: Letters of prose that a snapshot keeps.
 PROSE = 1500
@@ -19,9 +20,10 @@ PROSE = 1500
 def delete(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str, DataFrame]:
     """Tables of the store without events ``gone`` (event_id): the cascade, snapshots by (source, source_event_id), and
     checks of links and images that no event refers to any more. Tables that are not there are not needed."""
+    gone = cut(gone.select("event_id").distinct(), "gone")  # asked of every table
     out = merge.cascade(tables, gone)
     if "snapshots" in tables:
-        keys = tables["events"].join(gone.select("event_id").distinct(), "event_id", "left_semi").select("source", "source_event_id").distinct()
+        keys = tables["events"].join(gone, "event_id", "left_semi").select("source", "source_event_id").distinct()
         out["snapshots"] = tables["snapshots"].join(keys, ["source", "source_event_id"], "left_anti").select(tables["snapshots"].columns)
     for name, column in (("link_checks", "url"), ("image_checks", "image_url")):
         if name in tables:
@@ -45,14 +47,14 @@ def purge_unpermitted(tables: dict[str, DataFrame], settings: Settings) -> dict[
     for name in ("snapshots", "ledger"):
         if name in out:
             out[name] = out[name].join(off, "source", "left_anti").select(out[name].columns)
-    return out | {"events": merge.heal_orphans(out["events"])}
+    return out | {"events": cut(merge.heal_orphans(out["events"]), "events")}
 
 
 def prune_linkless(tables: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
     """Events of the city without a page to send readers to go."""
     gone = tables["events"].where((F.col("city") == settings.city) & ~text.has_external_link(F.col("url"), RECORD_HOSTS)).select("event_id")
     out = delete(tables, gone)
-    return out | {"events": merge.heal_orphans(out["events"])}
+    return out | {"events": cut(merge.heal_orphans(out["events"]), "events")}
 
 
 def prune_past(tables: dict[str, DataFrame], settings: Settings, keep_days: int = 2) -> dict[str, DataFrame]:

@@ -416,8 +416,8 @@ def price_parse(spark, sf):
         .when(F.expr("event_id % 5 = 3"), F.concat((F.lit(5) + F.col("user_id") % 90).cast("string"), F.lit(",5–"), n, F.lit(" €")))
         .otherwise(F.lit("auf Spendenbasis, 3 Termine"))
     )
-    p = prices.parse_price(words)
-    return table(spark, sf, "events").select("event_id", p["type"].alias("type"), p["min"].alias("low"), p["max"].alias("high"), p["sold_out"].alias("sold_out"))
+    p = prices.parse_price(F.col("words"))  # a column of its own, so that the patterns do not each write the text anew
+    return table(spark, sf, "events").select("event_id", words.alias("words")).select("event_id", p["type"].alias("type"), p["min"].alias("low"), p["max"].alias("high"), p["sold_out"].alias("sold_out"))
 
 
 # Places
