@@ -1,7 +1,7 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
 A word enters the network as the sum of two learned inputs: its own vector, if it is in the vocabulary of the training
-sample, and the mean vector of its character 3- and 4-grams, which also covers words never seen. Two gated recurrent
+sample, and the mean vector of its character 3- to 5-grams, which also covers words never seen. Two gated recurrent
 units read a window of words in both directions, attention pools their states, and a logit comes out. A document's
 score is that of its worst window of the whole text, calibrated on the training sample. A window of `WINDOW` words
 starts every `STRIDE` words and the last one ends with the text, so every passage of up to WINDOW - STRIDE + 1 words is
@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW, STRIDE = 32, 12
-DIM, HIDDEN, GRAMS = 8, 8, 1 << 13
+DIM, HIDDEN, GRAMS = 16, 12, 1 << 14
 #: The bound of the training sample: documents of each class, chosen by a hash of doc_id.
 SAMPLE = 1_000
 #: The bound of their texts together, and of one of them; longer ones teach nothing but are scored whole like all.
 SAMPLE_BYTES, TEXT_BYTES = 16 << 20, 1 << 20
-EPOCHS, BATCH, RATE, DROP, SEED = 8, 64, 0.01, 0.4, 11
+EPOCHS, BATCH, RATE, DROP, SEED = 14, 64, 0.01, 0.4, 11
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -38,14 +38,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed character 3- and 4-grams of all words, one after another, and how many each word has."""
+    """Hashed character 3- to 5-grams of all words, one after another, and how many each word has."""
     wrapped = [b"<" + w + b">" for w in words]
     text = np.frombuffer(b"".join(wrapped), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, wrapped), np.int64, len(wrapped))
     end = np.repeat(np.cumsum(size), size)
     owner = np.repeat(np.arange(len(words)), size)
     h, ids, owners = text.copy(), [], []
-    for n in range(2, 5):
+    for n in range(2, 6):
         h = h[:-1] * np.uint64(0x100000001B3) + text[n - 1 :] if len(h) > 1 else h[:0]
         if n > 2 and len(h):
             at = np.flatnonzero(np.arange(len(h)) + n <= end[: len(h)])
