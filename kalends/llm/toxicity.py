@@ -37,8 +37,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed character 3- to 5-grams of all words, one after another, and how many each word has."""
+def grams(words: list[bytes], block: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed character 3- to 5-grams of all words, one after another, and how many each word has; a block of words at
+    a time."""
+    if len(words) > block:
+        parts = [grams(words[k : k + block]) for k in range(0, len(words), block)]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
     wrapped = [b"<" + w + b">" for w in words]
     text = np.frombuffer(b"".join(wrapped), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, wrapped), np.int64, len(wrapped))
@@ -49,9 +53,9 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         h = h[:-1] * np.uint64(0x100000001B3) + text[n - 1 :] if len(h) > 1 else h[:0]
         if n > 2 and len(h):
             at = np.flatnonzero(np.arange(len(h)) + n <= end[: len(h)])
-            ids.append((_mix(h[at] + np.uint64(n)) % np.uint64(GRAMS)).astype(np.int64)), owners.append(owner[at])
+            ids.append((_mix(h[at] + np.uint64(n)) % np.uint64(GRAMS)).astype(np.int32)), owners.append(owner[at])
     if not ids:
-        return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+        return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
     ids, owners = np.concatenate(ids), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
     return ids[order], np.bincount(owners, minlength=len(words))
@@ -66,6 +70,15 @@ def _segment_mean(rows: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out
 
 
+def inputs(p: dict, rows: np.ndarray, gram_ids: np.ndarray, gram_count: np.ndarray, block: int = 8192) -> np.ndarray:
+    """What the network reads of words: their own vectors and the means of their grams' ones, a block at a time."""
+    out, at = p["word"][rows], np.concatenate([[0], np.cumsum(gram_count)])
+    for k in range(0, len(rows), block):
+        n = len(rows[k : k + block])
+        out[k : k + n] += _segment_mean(p["gram"][gram_ids[at[k] : at[k + n]]], gram_count[k : k + n])
+    return out
+
+
 def plain(token: str) -> bytes:
     """A word as the network sees it: lower case, without punctuation around it."""
     return (token.lower().strip(".,;:!?\"'()[]{}<>|*#$%&-_«»“”„…/\\") or token).encode()
@@ -202,7 +215,7 @@ class Words:
             words = list(map(plain, new))
             rows = np.fromiter((self.index.get(w, 0) for w in words), np.int64, len(words))
             ids, count = grams(words)
-            vectors = self.p["word"][rows] + _segment_mean(self.p["gram"][ids], count)
+            vectors = inputs(self.p, rows, ids, count)
             while self.used + len(new) > len(self.vectors):
                 self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
             self.vectors[self.used : self.used + len(new)] = vectors
@@ -261,11 +274,9 @@ def train(texts: list[str], labels: list[int], seed: int = SEED, epochs: int | N
     rng = np.random.default_rng(seed)
     # as many updates for a small sample as for a full one, within reason
     epochs = epochs or min(5 * EPOCHS, max(EPOCHS, 2 * SAMPLE * EPOCHS // len(texts)))
-    tokens = [t.split() for t in texts]
-    kinds = sorted({w for t in tokens for w in t})
-    place = {w: k for k, w in enumerate(kinds)}
-    words = list(map(plain, kinds))
-    docs = [np.fromiter(map(place.__getitem__, t), np.int64, len(t)) for t in tokens]
+    place: dict[str, int] = {}
+    docs = [np.fromiter((place.setdefault(w, len(place)) for w in t.split()), np.int64) for t in texts]
+    words = list(map(plain, place))
     seen = Counter(w for d in docs for w in {words[k] for k in set(d.tolist())})
     vocabulary = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n > 1]  # the sample bounds them
     index = {w: k + 1 for k, w in enumerate(vocabulary)}
@@ -280,12 +291,12 @@ def train(texts: list[str], labels: list[int], seed: int = SEED, epochs: int | N
     at = [windows(len(d)) for d in docs]
     owner = np.repeat(np.arange(len(docs)), [len(x) for x in at])
     starts, left = np.concatenate([base[k] + x for k, x in enumerate(at)]), np.concatenate([len(docs[k]) - x for k, x in enumerate(at)])
-    m, mask = _matrix(flat, starts, left)
+    m, mask = _matrix(flat.astype(np.int32), starts, left)
     first = np.concatenate([[0], np.cumsum([len(x) for x in at])[:-1]])
     count = np.array([len(x) for x in at])
 
     def score() -> np.ndarray:
-        return logits(p, p["word"][rows] + _segment_mean(p["gram"][gram_ids], gram_count), m, mask)
+        return logits(p, inputs(p, rows, gram_ids, gram_count), m, mask)
 
     def top(s: np.ndarray) -> np.ndarray:
         order = np.lexsort((s, owner))
