@@ -15,7 +15,7 @@ window so far, and on a random one of clean documents.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,13 @@ def _segment_mean(rows: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out
 
 
+def _rows_added(to: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """``to[rows] += values``, a row as often as it is named."""
+    on, place = np.unique(rows, return_inverse=True)
+    cell = (place[:, None] * values.shape[1] + np.arange(values.shape[1])).ravel()
+    to[on] += np.bincount(cell, values.ravel(), len(on) * values.shape[1]).reshape(len(on), -1).astype(to.dtype)
+
+
 def inputs(p: dict, rows: np.ndarray, gram_ids: np.ndarray, gram_count: np.ndarray, block: int = 8192) -> np.ndarray:
     """What the network reads of words: their own vectors and the means of their grams' ones, a block at a time."""
     out, at = p["word"][rows], np.concatenate([[0], np.cumsum(gram_count)])
@@ -98,19 +105,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _read(gates: np.ndarray, U: np.ndarray, mask: np.ndarray, back: bool, keep: list | None = None) -> np.ndarray:
-    """States (T, B, h) of one direction; gates (T, B, 3h) hold the input's part. ``keep`` gets what backward needs."""
-    steps, rows, h = gates.shape[0], gates.shape[1], U.shape[0]
-    state, out = np.zeros((rows, h), np.float32), np.empty((steps, rows, h), np.float32)
+def _read(gates: Callable[[int], np.ndarray], U: np.ndarray, mask: np.ndarray, back: bool, keep: list | None = None) -> np.ndarray:
+    """States (T, B, h) of one direction; gates(t) (B, 3h) is the input's part of a step. ``keep`` gets what backward needs."""
+    steps, rows, h = len(mask), mask.shape[1], U.shape[0]
+    state, out, full = np.zeros((rows, h), np.float32), np.empty((steps, rows, h), np.float32), mask.all(axis=1)
     for t in reversed(range(steps)) if back else range(steps):
-        g, hu, m = gates[t], state @ U, mask[t][:, None]
-        zr = 1 / (1 + np.exp(-(g[:, : 2 * h] + hu[:, : 2 * h])))
+        g, hu, m = gates(t), state @ U, mask[t][:, None]
+        zr = g[:, : 2 * h] + hu[:, : 2 * h]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :h], zr[:, h:]
-        n = np.tanh(g[:, 2 * h :] + r * hu[:, 2 * h :])
-        new = n + z * (state - n)
+        n = r * hu[:, 2 * h :]
+        n += g[:, 2 * h :]
+        np.tanh(n, out=n)
+        new = state - n
+        new *= z
+        new += n
         if keep is not None:
             keep.append((t, state, z, r, n, hu[:, 2 * h :], m))
-        state = np.where(m, new, state)
+        state = new if full[t] else np.where(m, new, state)
         out[t] = state
     return out
 
@@ -131,7 +146,7 @@ def logits(p: dict, vectors: np.ndarray, ids: np.ndarray, mask: np.ndarray, bloc
     gf, gb = vectors @ p["Wf"] + p["bf"], vectors @ p["Wb"] + p["bb"]
     for k in range(0, len(ids), block):
         i, m = ids[k : k + block].T, mask[k : k + block].T
-        states = np.concatenate([_read(gf[i], p["Uf"], m, False), _read(gb[i], p["Ub"], m, True)], axis=2)
+        states = np.concatenate([_read(lambda t: gf[i[t]], p["Uf"], m, False), _read(lambda t: gb[i[t]], p["Ub"], m, True)], axis=2)  # noqa: B023
         out[k : k + block] = _pool(p, states, m)[0]
     return out
 
@@ -144,7 +159,7 @@ def loss_and_gradient(p: dict, word: np.ndarray, gram_ids: np.ndarray, gram_coun
     i, m = ids.T, mask.T
     x = vectors[i]
     tapes: dict = {"f": [], "b": []}
-    states = np.concatenate([_read(x @ p[f"W{d}"] + p[f"b{d}"], p[f"U{d}"], m, d == "b", tapes[d]) for d in "fb"], axis=2)
+    states = np.concatenate([_read((x @ p[f"W{d}"] + p[f"b{d}"]).__getitem__, p[f"U{d}"], m, d == "b", tapes[d]) for d in "fb"], axis=2)
     logit, s, w, pooled = _pool(p, states, m)
     y = _sigmoid(logit)
     loss = float(-np.mean(label * np.log(y + 1e-9) + (1 - label) * np.log(1 - y + 1e-9)))
@@ -175,10 +190,10 @@ def loss_and_gradient(p: dict, word: np.ndarray, gram_ids: np.ndarray, gram_coun
             g[f"b{d}"] += da.sum(axis=0)
             dx[t] += da @ p[f"W{d}"].T
     dvectors = np.zeros_like(vectors)
-    np.add.at(dvectors, i.ravel(), dx.reshape(-1, dx.shape[2]))
-    np.add.at(g["word"], word, dvectors)
+    _rows_added(dvectors, i.ravel(), dx.reshape(-1, dx.shape[2]))
+    _rows_added(g["word"], word, dvectors)
     g["word"][0] = 0
-    np.add.at(g["gram"], gram_ids, np.repeat(dvectors / np.maximum(gram_count, 1)[:, None], gram_count, axis=0))
+    _rows_added(g["gram"], gram_ids, np.repeat(dvectors / np.maximum(gram_count, 1)[:, None], gram_count, axis=0))
     return loss, g
 
 
