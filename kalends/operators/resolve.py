@@ -31,16 +31,22 @@ def pairs(slots: DataFrame) -> DataFrame:
 
     Pairs meet on (night, token of the title), (night, venue) or (night, square of the map), and by titles of one night
     that are alike by their letters alone. Built-in predicates then drop pairs whose titles cannot reach the near-miss
-    band and that share no place; Python scores the rest. Returns these pairs only."""
+    band and that share no place; Python scores the rest. Returns these pairs only. Where only their number is asked
+    for, :func:`kalends.operators.links.links` counts them without listing any."""
+    met = _met(slots)
+    side = lambda p: slots.dropDuplicates(["event_id"]).select(F.col("event_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("source", "venue_id", "lat", "lon", "t", "v")))
+    full = met.join(side("u"), "u").join(side("v"), "v")
+    return _scored(full)
+
+
+def _met(slots: DataFrame) -> DataFrame:
+    """(u, v, us, vs): the pairs that :func:`pairs` looks at, with their starts."""
     tokens = slots.withColumn("_keys", F.array_distinct(F.concat(F.transform(F.split("t", " "), lambda x: F.concat(F.lit("t:"), x)), F.when(F.col("venue_id").isNotNull(), F.array(F.concat(F.lit("v:"), F.col("venue_id")))).otherwise(F.array().cast("array<string>")), _cells())))
     keyed = tokens.select("event_id", "nightlife_date", "start_s", F.explode("_keys").alias("_key"))
     a, b = keyed.alias("a"), keyed.alias("b")
     near = (F.col("a.nightlife_date") == F.col("b.nightlife_date")) & (F.col("a._key") == F.col("b._key")) & (F.col("a.event_id") < F.col("b.event_id"))
     met = a.join(b, near).select(F.col("a.event_id").alias("u"), F.col("b.event_id").alias("v"), F.col("a.start_s").alias("us"), F.col("b.start_s").alias("vs"))
-    met = met.unionByName(_by_letters(slots)).distinct()
-    side = lambda p: slots.dropDuplicates(["event_id"]).select(F.col("event_id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("source", "venue_id", "lat", "lon", "t", "v")))
-    full = met.join(side("u"), "u").join(side("v"), "v")
-    return _scored(full)
+    return met.unionByName(_by_letters(slots)).distinct()
 
 
 def _by_letters(slots: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kalends.config import FAMILIES, Policy, Settings
 from kalends.functions import text
-from kalends.operators import classify, feed, gates, liveness, merge, resolve, select, venues
+from kalends.operators import classify, feed, gates, links, liveness, merge, resolve, select, venues
 from kalends.streaming import strikes
 
 DAY = datetime.date(2199, 6, 13)
@@ -186,3 +186,41 @@ def test_titles_alike_by_letters_alone_are_compared(spark):
     want = {(a[0], b[0]): text.token_set(a[5], b[5]) for a in rows for b in rows if a[0] < b[0] and a[7] == b[7]}
     assert {p for p, score in want.items() if score >= 80} <= got.keys() and any(score == 80 for score in want.values())
     assert got[("e000", "e001")].matched and all(r.matched == (want[p] >= 90) and r.title_score == want[p] for p, r in got.items())
+
+
+def test_links_are_counted_without_listing_pairs(spark, monkeypatch):
+    """Counts by classes are those of all pairs of a night: copies, several slots an event, none of a thing, blocks."""
+    rng = random.Random(5)
+    titles = ["big night", "big night open", "night big", "technonacht", "technonachts", "", "open air", "open airs", "jazz", None, "abcd", "abcdef"]
+    places = [("v1", 52.5, 13.4, "club one"), ("v1", None, None, ""), (None, 52.5004, 13.4004, "club ona"), (None, 52.502, 13.4, "club two"), ("", 0.0, 13.4, "hall"), (None, None, None, "halls"), (None, None, None, ""), ("v2", 52.6, 13.5, "bar")]
+    rows = []
+    for k in range(220):
+        source, t, (venue, lat, lon, v) = rng.choice(["a", "b", "c", None]), rng.choice(titles), rng.choice(places)
+        for night in rng.choice([(1,), (2,), (1, 1), (1, 2)]):
+            rows.append((f"e{k:03d}", source, venue, lat, lon, t, v, f"2026-01-0{night}", 86_400 * night + 600 * rng.randrange(30)))
+    rows += rows[:5]
+    slots = spark.createDataFrame(rows, "event_id string, source string, venue_id string, lat double, lon double, t string, v string, nightlife_date string, start_s long")
+    want = {}
+    every = sorted({r for r in rows if r[5] is not None}, key=str)
+    for a in every:
+        n = want.setdefault((a[0], a[7]), [0, 0])
+        for b in every:
+            if a[0] != b[0] and a[7] == b[7]:
+                placed = all(x for x in (a[3], a[4], b[3], b[4]))
+                metres = 111_195 * ((a[3] - b[3]) ** 2 + ((a[4] - b[4]) * 0.6087) ** 2) ** 0.5 if placed else 1e9
+                title, same = text.token_set(a[5], b[5]), bool(a[2]) and a[2] == b[2]
+                if (title >= 90 and (text.token_set(a[6], b[6]) >= 85 or same or metres <= 250)) or ((same or metres <= 100) and abs(a[8] - b[8]) <= 900):
+                    n[0] += 1
+                elif 80 <= title < 90 and a[1] and b[1] and a[1] != b[1]:
+                    n[1] += 1
+    assert all(sum(x[k] for x in want.values()) for k in (0, 1))
+    for block in (1024, 3):
+        monkeypatch.setattr(links, "BLOCK", block)
+        got = links.links(slots).collect()
+        assert {(r.event_id, r.nightlife_date): [r.n_matched, r.n_near] for r in got} == want and len(got) == len(want)
+    first = {}
+    for a in every:
+        first[(a[5], a[2:5], a[6], a[7])] = min(a[0], first.get((a[5], a[2:5], a[6], a[7]), a[0]))
+    assert {(r.event_id, r.nightlife_date): r.class_id for r in got} == {(a[0], a[7]): first[(a[5], a[2:5], a[6], a[7])] for a in every}
+    pairs = resolve.pairs(slots).collect()  # each once
+    assert 2 * sum(r.matched for r in pairs) == sum(r.n_matched for r in got) and 2 * sum(bool(r.near_miss) for r in pairs) == sum(r.n_near for r in got)
