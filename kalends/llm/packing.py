@@ -31,13 +31,15 @@ CAPACITY, GROUPS = 2048, 96
 CUTS = (2, 3, 4, 8)
 #: Documents whose new words are encoded at once.
 BLOCK = 256
+#: New words of letters only that are encoded as one line; the ends of words tell their ids apart.
+LINE = 200
 #: Pieces numbered by one task; sets the number of salts.
 NUMBERED = 20_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _encoder(path: str | None, cache: int = 400_000):
+def _encoder(path: str | None, cache: int = 700_000):
     """Text to little-endian 32-bit ids. White space ends every token of this vocabulary, so each distinct run of
     other bytes is encoded once while the cache holds it."""
     import os
@@ -50,14 +52,29 @@ def _encoder(path: str | None, cache: int = 400_000):
 
         path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer, known = Tokenizer.from_file(path), {}
+    suffix = tokenizer.model.end_of_word_suffix
+    last = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    last[[k for w, k in tokenizer.get_vocab().items() if suffix and w.endswith(suffix)]] = True
     points = {c: array("I", tokenizer.encode(c.decode(), add_special_tokens=False).ids).tobytes() for c in (b".", b",")}
 
     def learn(new: set[bytes]) -> None:
         """Encode unknown words; a point or comma after an ASCII letter or digit always is a token of its own."""
         pointed = {w: w[:-1] for w in new if w[-1:] in points and w[-2:-1].isalnum()}
         bare = list(new.difference(pointed).union(pointed.values()).difference(known))
-        for k in range(0, len(bare), 20_000):
-            part = bare[k : k + 20_000]
+        letters, rest = [], []
+        for w, x in zip(bare, [w.decode("utf-8", "replace") for w in bare]):
+            (letters if x.isalpha() else rest).append(w)  # what stands for a wrong byte is no letter
+        lines = [letters[k : k + LINE] for k in range(0, len(letters), LINE)]
+        for line, e in zip(lines, tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(last[ids]) + 1
+            if len(ends) == len(line):  # blanks part words, so a word that is not one piece only makes more ends
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                known.update(zip(line, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                rest += line
+        for k in range(0, len(rest), 20_000):
+            part = rest[k : k + 20_000]
             ids = [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
             known.update(zip(part, [array("I", x).tobytes() for x in ids]))
         known.update({w: known[c] + points[w[-1:]] for w, c in pointed.items()})

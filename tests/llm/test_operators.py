@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -805,3 +806,32 @@ def test_every_operator_reads_very_long_texts(spark):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 3}
     pages = docs.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://"), "text").alias("url")).where("page_id < 3")
     assert urlrules.judge(pages, RULES, [(["h:a", "h:com"], 0.9)]).count() == 2
+
+
+def test_new_words_of_letters_are_encoded_as_lines(monkeypatch):
+    """The ids are those of whole texts, also of letters that normalising parts, and few strings meet the tokenizer."""
+    import tokenizers
+
+    strings = []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            if name != "encode_batch_fast":
+                return getattr(self.inner, name)
+            return lambda part, **k: strings.extend(part) or self.inner.encode_batch_fast(part, **k)
+
+    path = __import__("public_tokenizers").path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_file": staticmethod(lambda p: Counted(whole))}))
+    rng = random.Random(1)
+    odd = ["İstanbul", "क़क", "가", "ÅÅ", "ﬁn", "éte", "日本語", "it's", "a1b2", "x!!", "end.", "<|endoftext|>", "a<|b", "ǅ", "Ⅰ", "ß", "ªº", "𝒳y", "😀"]
+    plain = ["".join(rng.choice("abcdeäßé") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    texts = [" ".join(plain[k : k + 100] + odd[k // 300 :]) for k in range(0, 3000, 100)] + [" ".join(odd), None, ""]
+    ids = packing._encoder(path)([t if t is None else t.encode() for t in texts])
+    assert ids == [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert 0 < len(strings) < 500, "one string a word"
+    wrong = b"abc\xff def ab\xe9"
+    assert packing._encoder(path)([wrong]) == [np.array(whole.encode(wrong.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()]
