@@ -54,16 +54,20 @@ def links(slots: DataFrame) -> DataFrame:
     places = _blocks(cut(spots, "spots"))
     forget(raw.sparkSession, raw)
     alike = _titles(coded, titles)
-    cells = cut(coded.groupBy(NIGHT, "tid", "pid").agg(F.count("*").alias("n"), F.min("event_id").alias("class_id")), "cells")
+    one = [NIGHT, "tid", "pid", "start_s", "source"]
+    classes = cut(coded.groupBy(*one).agg(F.count("*").alias("n"), F.min("event_id").alias("class_id")), "classes")
+    cells = cut(classes.groupBy(NIGHT, "tid", "pid").agg(F.sum("n").alias("n"), F.min("class_id").alias("class_id")), "cells")
     timeless = _products(cells, alike, places)
-    others = _other_sources(coded, alike)
-    timed = _close_starts(coded, titles, places)
+    others = _other_sources(classes, alike)
+    timed = _close_starts(classes, titles, places)
 
-    out = coded.join(cells.drop("n"), [NIGHT, "tid", "pid"]).join(timeless, [NIGHT, "tid", "pid"], "left")
-    out = out.join(others["all"], [NIGHT, "tid"], "left").join(others["same"], [NIGHT, "tid", "source"], "left").join(timed, [NIGHT, "tid", "pid", "start_s", "source"], "left")
+    out = classes.drop("n", "class_id").join(cells.drop("n"), [NIGHT, "tid", "pid"]).join(timeless, [NIGHT, "tid", "pid"], "left")
+    out = out.join(others["all"], [NIGHT, "tid"], "left").join(others["same"], [NIGHT, "tid", "source"], "left").join(timed, one, "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     near = F.when(F.col("source") != NONE, zero("n_all") - zero("n_same") - zero("n_timed_near")).otherwise(0)
-    slot = out.select("event_id", NIGHT, "class_id", "start_s", "own_a", "own_b", (zero("n_timeless") + zero("n_timed")).alias("matched"), near.alias("near"))
+    counted = out.select(*one, "class_id", (zero("n_timeless") + zero("n_timed")).alias("matched"), near.alias("near"))
+    counted = counted.withColumnsRenamed({c: f"_{c}" for c in one})
+    slot = coded.join(counted, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in one]).select("event_id", NIGHT, "class_id", "start_s", "own_a", "own_b", "matched", "near")
     events = slot.groupBy("event_id", NIGHT).agg(
         F.min("class_id").alias("class_id"), F.sum("matched").alias("matched"), F.sum("near").alias("n_near"), F.max("own_a").alias("own_a"), F.max("own_b").alias("own_b"), F.collect_list("start_s").alias("s")
     )
@@ -189,11 +193,11 @@ def _products(cells: DataFrame, alike: DataFrame, places: DataFrame) -> DataFram
     return cut(parts.groupBy(NIGHT, "tid", "pid").agg(F.sum("n").alias("n_timeless")), "timeless")
 
 
-def _other_sources(coded: DataFrame, alike: DataFrame) -> dict[str, DataFrame]:
+def _other_sources(classes: DataFrame, alike: DataFrame) -> dict[str, DataFrame]:
     """For a title of a night, slots with a title of the near-miss band: of all sources, and of each."""
-    counts = coded.where(F.col("source") != NONE).groupBy(NIGHT, "tid", "source").agg(F.count("*").alias("n"))
+    counts = classes.where(F.col("source") != NONE).groupBy(NIGHT, "tid", "source").agg(F.sum("n").alias("n"))
     near = alike.where(F.col("score") < TITLE).select("a", F.col("b").alias("tid"))
-    there = coded.select(NIGHT, F.col("tid").alias("a")).distinct()
+    there = classes.select(NIGHT, F.col("tid").alias("a")).distinct()
     same = cut(counts.join(near, "tid").groupBy(NIGHT, "a", "source").agg(F.sum("n").alias("n_same")).join(there, [NIGHT, "a"], "left_semi").withColumnRenamed("a", "tid"), "same")
     return {"same": same, "all": same.groupBy(NIGHT, "tid").agg(F.sum("n_same").alias("n_all"))}
 
@@ -273,11 +277,10 @@ def _score(a: str, b: str) -> float:
     return _scores[a, b]
 
 
-def _close_starts(coded: DataFrame, titles: DataFrame, places: DataFrame) -> DataFrame:
+def _close_starts(classes: DataFrame, titles: DataFrame, places: DataFrame) -> DataFrame:
     """(night, tid, pid, start_s, source, n_timed, n_timed_near) where there are any."""
-    classes = coded.groupBy(NIGHT, "tid", "pid", "start_s", "source").agg(F.count("*").alias("n"))
     hour = lambda d: F.floor((F.col("start_s") + d) / BUCKET)
-    dealt = classes.withColumn("h", F.explode(F.sequence(hour(-CLOSE_S), hour(CLOSE_S)))).withColumn("own", F.col("h") == hour(0))
+    dealt = classes.drop("class_id").withColumn("h", F.explode(F.sequence(hour(-CLOSE_S), hour(CLOSE_S)))).withColumn("own", F.col("h") == hour(0))
     void = {"tid": "long", "pid": "long", "start_s": "long", "source": "string", "n": "long", "own": "boolean", "others": "array<long>", "t": "string"}
     row = lambda df, kind, *has: df.select(NIGHT, "h", F.lit(kind).alias("kind"), *(F.col(c).cast(t).alias(c) if c in has else _blank(t).alias(c) for c, t in void.items()))
     dealt = cut(dealt, "dealt")
@@ -286,11 +289,13 @@ def _close_starts(coded: DataFrame, titles: DataFrame, places: DataFrame) -> Dat
         .unionByName(row(dealt.where("own").select(NIGHT, "h", "pid").distinct().join(_tight(places), "pid"), 1, "pid", "others"))
         .unionByName(row(dealt.select(NIGHT, "h", "tid").distinct().join(titles, "tid"), 2, "tid", "t"))
     )
-    kind = coded.schema[NIGHT].dataType.simpleString()
+    kind = classes.schema[NIGHT].dataType.simpleString()
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = _count_close(pdf)
         out.insert(0, NIGHT, key[0])
         return out
 
-    return cut(rows.groupBy(NIGHT, "h").applyInPandas(run, f"{NIGHT} {kind}, tid long, pid long, start_s long, source string, n_timed long, n_timed_near long"), "timed")
+    timed = cut(rows.groupBy(NIGHT, "h").applyInPandas(run, f"{NIGHT} {kind}, tid long, pid long, start_s long, source string, n_timed long, n_timed_near long"), "timed")
+    forget(timed.sparkSession, dealt)
+    return timed
