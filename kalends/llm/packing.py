@@ -16,11 +16,12 @@ task) and look their place up in the runs.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,75 +30,142 @@ from .common import materialize
 CAPACITY, GROUPS = 2048, 96
 #: Large is what exceeds the capacity divided by one of these; the one that needs the fewest sequences is taken.
 CUTS = (2, 3, 4, 8)
-#: Documents whose new words are encoded at once.
-BLOCK = 256
-#: New words of letters only that are encoded as one line; the ends of words tell their ids apart.
+#: Bytes of text whose different words are encoded at once, and documents whose ids are put together at once.
+BLOCK, TOGETHER = 16_000_000, 256
+#: Words of letters only that are encoded as one line; the ends of words tell their ids apart.
 LINE = 200
+#: Signs that part from a letter or digit before them; without ' (it may start a token of letters) and without what
+#: names of special tokens are made of.
+SIGNS = '!"#$%&()*+,-./:;=?@[\\]^_`{}~'
+#: ASCII letters and digits and, as two bytes, Latin letters, but for what is two characters in lower case.
+AFTER = np.zeros(65536, bool)
+AFTER[[int.from_bytes(c.encode()) for c in map(chr, range(0x250)) if c.isalnum() and (c.isascii() or c.isalpha()) and len(c.lower()) == 1]] = True
+#: Words of small Latin letters, which no normaliser changes.
+SMALL = "^[" + "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower()) + "]+$"
 #: Pieces numbered by one task; sets the number of salts.
 NUMBERED = 20_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _encoder(path: str | None, cache: int = 700_000):
+def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Positions of runs, one run behind the other."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _encoder(path: str | None):
     """Text to little-endian 32-bit ids. White space ends every token of this vocabulary, so each distinct run of
-    other bytes is encoded once while the cache holds it."""
+    other bytes is encoded once a block; Arrow finds them and numpy puts the ids together."""
     import os
 
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's own threads only spin on it
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    tokenizer, known = Tokenizer.from_file(path), {}
+    tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    plain.normalizer = normalizers.Sequence([])  # it changes no small Latin letter, and letters are one run
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     suffix = tokenizer.model.end_of_word_suffix
     last = np.zeros(tokenizer.get_vocab_size() + 1, bool)
     last[[k for w, k in tokenizer.get_vocab().items() if suffix and w.endswith(suffix)]] = True
-    points = {c: array("I", tokenizer.encode(c.decode(), add_special_tokens=False).ids).tobytes() for c in (b".", b",")}
-
-    def learn(new: set[bytes]) -> None:
-        """Encode unknown words; a point or comma after an ASCII letter or digit always is a token of its own."""
-        pointed = {w: w[:-1] for w in new if w[-1:] in points and w[-2:-1].isalnum()}
-        bare = list(new.difference(pointed).union(pointed.values()).difference(known))
-        letters, rest = [], []
-        for w, x in zip(bare, [w.decode("utf-8", "replace") for w in bare]):
-            (letters if x.isalpha() else rest).append(w)  # what stands for a wrong byte is no letter
-        lines = [letters[k : k + LINE] for k in range(0, len(letters), LINE)]
-        for line, e in zip(lines, tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            ends = np.flatnonzero(last[ids]) + 1
-            if len(ends) == len(line):  # blanks part words, so a word that is not one piece only makes more ends
-                raw, ends = ids.tobytes(), (4 * ends).tolist()
-                known.update(zip(line, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-            else:
-                rest += line
-        for k in range(0, len(rest), 20_000):
-            part = rest[k : k + 20_000]
-            ids = [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
-            known.update(zip(part, [array("I", x).tobytes() for x in ids]))
-        known.update({w: known[c] + points[w[-1:]] for w, c in pointed.items()})
-
-    def encode(texts: list[bytes | None]) -> list[bytes]:
+
+    def encoded(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words, and of each word the first one's position and how many there are."""
+        small = pc.match_substring_regex(words, SMALL).to_numpy(zero_copy_only=False)
+        letters = ~small & pc.match_substring_regex(words, r"^\pL+$").to_numpy(zero_copy_only=False)
+        count, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        rest, order, got = [np.flatnonzero(~small & ~letters)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for mask, by in ((small, plain), (letters, tokenizer)):
+            rows = np.flatnonzero(mask)
+            cuts = pa.array(np.append(np.arange(0, len(rows), LINE), len(rows)), pa.int32())
+            lines = pc.binary_join(pa.ListArray.from_arrays(cuts, words.take(pa.array(rows))), " ").to_pylist() if len(rows) else []
+            for k, e in enumerate(by.encode_batch_fast(lines, add_special_tokens=False)):
+                line, ids = rows[k * LINE : (k + 1) * LINE], np.array(e.ids, np.uint32)
+                ends = np.flatnonzero(last[ids]) + 1
+                if len(ends) == len(line):  # blanks part words, so a word that is not one piece only makes more ends
+                    count[line] = np.diff(ends, prepend=0)
+                    order.append(line)
+                    got.append(ids)
+                else:
+                    rest.append(line)
+        alone = np.concatenate(rest)
+        for k in range(0, len(alone), 20_000):
+            rows = alone[k : k + 20_000]
+            ids = [e.ids for e in tokenizer.encode_batch_fast(words.take(pa.array(rows)).to_pylist(), add_special_tokens=False)]
+            count[rows] = [len(x) for x in ids]
+            order.append(rows)
+            got.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+        rows = np.concatenate(order)
+        start[rows] = np.cumsum(count[rows]) - count[rows]
+        return np.concatenate(got), start, count
+
+    def parted(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same; signs after a Latin letter or digit always are tokens of their own, so they are encoded apart."""
+        stem, at = pc.ascii_rtrim(words, characters=SIGNS), words.offset
+        edges = np.frombuffer(words.buffers()[1], np.int32)[at : at + len(words) + 1].astype(np.int64)
+        data = np.frombuffer((words.buffers()[2] if edges[-1] else None) or b"\0", np.uint8)
+        n, m = np.diff(edges), pc.binary_length(stem).to_numpy().astype(np.int64)
+        end = edges[:-1] + m
+        ended = (m > 0) & (m < n)
+        one, two = (data[np.where(m > k, end - 1 - k, 0)].astype(np.int64) * (m > k) for k in (0, 1))
+        ended &= AFTER[one] | AFTER[two << 8 | one]
+        rows = np.flatnonzero(ended)
+        tails = data[_spans(end[rows], (n - m)[rows])]
+        cuts = np.append(0, np.cumsum((n - m)[rows])).astype(np.int32)
+        signs = pa.StringArray.from_buffers(len(rows), pa.py_buffer(cuts), pa.py_buffer(tails))
+        both = pc.dictionary_encode(pa.concat_arrays([pc.if_else(pa.array(ended), stem, words), signs]))
+        part = both.indices.to_numpy()
+        ids, start, count = encoded(both.dictionary)
+        parts = np.insert(part[: len(n)], rows + 1, part[len(n) :])
+        total = count[part[: len(n)]]
+        total[rows] += count[part[len(n) :]]
+        return ids[_spans(start[parts], count[parts])], np.cumsum(total) - total, total
+
+    def encode(texts: pa.Array | list[bytes | None]) -> list[bytes]:
         """The vocabulary is lower case; only names of special tokens are told apart by case, and they start with <|."""
-        split = [((t if b"<|" in t else t.lower()) if t else b"").split() for t in texts]
-        if len(known) > cache:
-            known.clear()
-        learn(set().union(*split).difference(known))
-        return [b"".join(map(known.__getitem__, w)) for w in split]
+        column = (pa.array(texts, pa.binary()) if isinstance(texts, list) else texts).fill_null(b"")
+        try:
+            column = column.cast(pa.string())
+        except pa.ArrowInvalid:  # wrong bytes
+            column = pa.array([t.decode("utf-8", "replace") for t in column.to_pylist()], pa.string())
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column)))
+        edges, coded = split.offsets.to_numpy(), pc.dictionary_encode(split.flatten())
+        if not len(coded):
+            return [b""] * len(column)
+        (ids, start, count), word = parted(coded.dictionary), coded.indices.to_numpy()
+        out: list[bytes] = []
+        for k in range(0, len(column), TOGETHER):
+            cuts = edges[k : k + TOGETHER + 1]
+            w = word[cuts[0] : cuts[-1]]
+            raw = ids[_spans(start[w], count[w])].tobytes()
+            at = (4 * np.append(0, np.cumsum(count[w]))[cuts - cuts[0]]).tolist()
+            out += [raw[a:b] for a, b in zip(at, at[1:])]
+        return out
 
     return encode
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows in blocks of about `BLOCK` bytes of text, a row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BLOCK, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def _cut(path: str | None, capacity: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, tail = _encoder(path), np.array([end], "<u4").tobytes()
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for k in range(0, batch.num_rows, BLOCK):
-                block = batch.slice(k, BLOCK)
-                for doc, ids in zip(block.column(0).to_pylist(), encode(block.column(1).to_pylist())):
+            n = 6 if with_ids else 5
+            out: list[list] = [[] for _ in range(n)]
+            for block in _blocks(batch):
+                for doc, ids in zip(block.column(0).to_pylist(), encode(block.column(1))):
                     ids += tail
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
@@ -105,7 +173,6 @@ def _cut(path: str | None, capacity: int, end: int, with_ids: bool):
                             column.append(x)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            n = 6 if with_ids else 5
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out[:n], kinds)], names=names[:n])
 
     return run

@@ -835,3 +835,36 @@ def test_new_words_of_letters_are_encoded_as_lines(monkeypatch):
     assert 0 < len(strings) < 500, "one string a word"
     wrong = b"abc\xff def ab\xe9"
     assert packing._encoder(path)([wrong]) == [np.array(whole.encode(wrong.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+def test_words_are_encoded_once_a_block(monkeypatch):
+    """Hundreds of documents and words with any signs behind them meet the tokenizer once, with the ids of whole texts."""
+    import pyarrow as pa
+    import tokenizers
+
+    words = []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            if name != "encode_batch_fast":
+                return getattr(self.inner, name)
+            return lambda part, **k: words.extend(w for x in part for w in x.split()) or self.inner.encode_batch_fast(part, **k)
+
+    path = __import__("public_tokenizers").path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_file": staticmethod(lambda p: Counted(whole))}))
+    stems = [a + b for a in ("été", "haus", "grün", "x9", "ñ") for b in ("a", "b7", "é", "ß")]
+    signs = ["", ".", ",", "***", "!!", ".%%%", "$$$,", "&&&", '".', "-", "_"]
+    texts = [" ".join(s + e for s in stems for e in signs)] * 600 + ["İ. İ!! a' a'. 'S. 's! é. ´. a|> <|endoftext|>. A<|b. .. ,", None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t if t is None else t.encode() for t in texts], pa.binary())], names=["doc_id", "text"])
+    got = pa.Table.from_batches(packing._cut(path, 2048, 0, True)(iter([batch]))).to_pylist()
+    want = {t: np.array(whole.encode(t or "", add_special_tokens=False).ids + [0], "<u4").tobytes() for t in set(texts)}
+    ids = Counter()
+    for r in got:
+        assert r["start"] == 2048 * r["piece"] and r["ids_crc32"] == zlib.crc32(r["ids"]) and r["ids"] == want[texts[r["doc_id"]]][4 * r["start"] :][: 4 * 2048]
+        ids[r["doc_id"]] += r["length"]
+    assert all(4 * ids[k] == len(want[t]) for k, t in enumerate(texts))
+    assert len(words) < 60, "words met the tokenizer again, or each with its signs"
