@@ -22,6 +22,8 @@ LAYERS = 2 * BINS
 #: Points drawn at first; they leave one of the bins empty in about one text of 2,000, which is drawn to the end.
 ENOUGH = 1_600
 _RANK = 2**48 - 1
+#: What is known of a row without its text: its key, length and how often it is there.
+ROW = ("d", "h", "n", "copies")
 
 
 def _drawn(e: Column, layers: Column) -> Column:
@@ -74,33 +76,33 @@ def as_text(a: Column) -> Column:
 
 
 def _predecessors(ids: DataFrame) -> DataFrame:
-    """For each (d, h) of ``ids`` (with n): the row before it in descending (d, h), as (before_d, before_h, before_n);
+    """For each (d, h) of ``ids`` (with n and copies): the row before it in descending (d, h), as (before_d, before_h, before_n);
     before the first comes the last. Sorted by range, so that no task holds more than its range; the range ends, one
     row for each range, meet in a small table."""
     ranged = materialize(ids.repartitionByRange(F.desc("d"), F.desc("h")).withColumn("pid", F.spark_partition_id()), "ranges")
     within = Window.partitionBy("pid").orderBy(F.desc("d"), F.desc("h"))
-    lagged = ranged.select("d", "h", "pid", *(F.lag(c).over(within).alias(f"before_{c}") for c in "dhn"), F.lead("d").over(within).isNull().alias("last"), "n")
-    ends = lagged.where("last").select("pid", "d", "h", "n")
+    lagged = ranged.select("d", "h", "pid", *(F.lag(c).over(within).alias(f"before_{c}") for c in ROW), F.lead("d").over(within).isNull().alias("last"), "n", "copies")
+    ends = lagged.where("last").select("pid", *ROW)
     order = Window.orderBy("pid")  # a row for each range
     whole = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("pid", *(F.coalesce(F.lag(c).over(order), F.last(c).over(whole)).alias(f"end_{c}") for c in "dhn"))
-    return lagged.join(F.broadcast(ends), "pid").select("d", "h", *(F.coalesce(f"before_{c}", f"end_{c}").alias(f"before_{c}") for c in "dhn"))
+    ends = ends.select("pid", *(F.coalesce(F.lag(c).over(order), F.last(c).over(whole)).alias(f"end_{c}") for c in ROW))
+    return lagged.join(F.broadcast(ends), "pid").select("d", "h", *(F.coalesce(f"before_{c}", f"end_{c}").alias(f"before_{c}") for c in ROW))
 
 
-def _edited(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each (d, h) once with its text, its edited text and the next row's key; and the keys with their copies."""
+def _edited(docs: DataFrame) -> DataFrame:
+    """Each (d, h) once with its copies, its text, its edited text and the next row's key."""
     doc_id, content = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
     base = docs.select(F.coalesce(doc_id, F.lit(-(2**63))).alias("d"), F.xxhash64(doc_id.isNull(), content).alias("h"), content.alias("text"))
     ids = base.groupBy("d", "h").agg(F.first(F.char_length("text")).alias("n"), F.count("*").alias("copies"))
-    before = _predecessors(ids.select("d", "h", "n"))
+    before = _predecessors(ids)
     once = base.dropDuplicates(["d", "h"])
     start = F.substring("text", F.lit(1), F.expr("before_n div 3").cast("int"))
-    prefix = once.join(before, ["d", "h"]).select(F.col("d").alias("next_d"), F.col("h").alias("next_h"), F.col("before_d").alias("d"), F.col("before_h").alias("h"), start.alias("prefix"))
+    prefix = once.join(before, ["d", "h"]).select(F.col("d").alias("next_d"), F.col("h").alias("next_h"), F.col("before_d").alias("d"), F.col("before_h").alias("h"), F.col("before_copies").alias("copies"), start.alias("prefix"))
     n = F.char_length("text")
     edited = F.concat(F.substring("text", F.lit(1), (n - F.expr("char_length(text) div 3")).cast("int")), F.col("prefix"))
     # Both sides read the same columns of `once`, so that one exchange of the texts serves both.
     is_null = (F.col("d") == -(2**63)) & (F.col("h") == F.xxhash64(F.lit(True), "text"))
-    return once.join(prefix, ["d", "h"]).select(F.when(~is_null, F.col("d")).alias("doc_id"), "d", "h", "next_d", "next_h", n.cast("long").alias("n_chars"), "text", edited.alias("edited_text")), ids
+    return once.join(prefix, ["d", "h"]).select(F.when(~is_null, F.col("d")).alias("doc_id"), "d", "h", "next_d", "next_h", "copies", n.cast("long").alias("n_chars"), "text", edited.alias("edited_text"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -114,18 +116,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     doc_id comes after all others. Rows with equal doc_id and text count once in the order and get the same result
     each; one doc_id with other texts is ordered by a hash. Other columns are ignored.
     """
-    both, ids = _edited(docs)
-    both = with_fingerprint(with_fingerprint(both, "text", "f"), "edited_text", "e")
+    both = with_fingerprint(with_fingerprint(_edited(docs), "text", "f"), "edited_text", "e")
     short = lambda c: F.transform(c, lambda x: (x - 32768).cast("short")).alias(c)
-    sha = F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256")
-    kept = materialize(both.select("doc_id", "d", "h", "next_d", "next_h", "n_chars", sha, short("f"), short("e")), "fingerprints")
+    sha = F.unhex(F.sha2(F.col("edited_text").cast("binary"), 256)).alias("sha")
+    kept = materialize(both.select("doc_id", "d", "h", "next_d", "next_h", "copies", "n_chars", sha, short("f"), short("e")), "fingerprints")
     following = kept.select(F.col("d").alias("next_d"), F.col("h").alias("next_h"), F.col("f").alias("g"))
-    many = ids.where("copies > 1").select("d", "h", "copies")
     wide = lambda c: F.transform(c, lambda x: x.cast("int") + 32768)
-    one = F.lit(1).cast("long")
     return (
-        kept.join(following, ["next_d", "next_h"])
-        .join(many, ["d", "h"], "left")
-        .select("doc_id", "n_chars", "edited_sha256", wide("f").alias("fingerprint"), wide("e").alias("edited_fingerprint"), likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("g")).alias("near_next"), F.explode(F.sequence(one, F.coalesce("copies", one))).alias("copy"))
+        kept.select("doc_id", "next_d", "next_h", "copies", "n_chars", "sha", "f", "e")
+        .join(following, ["next_d", "next_h"])
+        .select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), wide("f").alias("fingerprint"), wide("e").alias("edited_fingerprint"), likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("g")).alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
         .drop("copy")
     )

@@ -546,6 +546,22 @@ def test_fingerprints_odd_rows(spark):
     assert one[0].near_next == 1.0 and fingerprint.fingerprints(frame(spark, [])).collect() == []
 
 
+def test_fingerprints_are_moved_once(spark):
+    """Copies come along with each row, so the fingerprints meet those of the next rows and nothing else."""
+    rows = [(k, f"text {k} of some words") for k in (1, 1, 1, 2, 3, 3, None, None)] + [(3, "other"), (4, None), (4, None), (5, "")]
+    got = fingerprint.fingerprints(frame(spark, rows))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    seen = Counter((r.doc_id, r.n_chars, r.edited_sha256, r.near_next) for r in got.collect())
+    assert sorted(seen.values()) == [1, 1, 1, 2, 2, 2, 3] and sum(seen.values()) == len(rows)
+    order = [(5, ""), (4, ""), *[(3, t) for t in ("other", rows[4][1])], (2, rows[3][1]), (1, rows[0][1]), (None, rows[6][1])]
+    for turn in (order, order[:2] + order[3:1:-1] + order[4:]):  # a hash orders the two texts of 3
+        edited = [(i, t[: len(t) - len(t) // 3] + n[: len(t) // 3]) for (i, t), (_, n) in zip(turn, turn[1:] + turn[:1])]
+        if {(i, hashlib.sha256(t.encode()).hexdigest()) for i, t in edited} == {k[::2] for k in seen}:
+            break
+    else:
+        raise AssertionError(seen)
+
+
 # op8
 
 
