@@ -310,6 +310,22 @@ def test_line_dedup_odd_rows(spark):
     assert linedup.dedup_lines(frame(spark, [])).collect() == []
 
 
+def test_line_dedup_takes_few_stages(spark):
+    """Of texts whose runs need every round; many small stages took the time on tables dealt over many partitions."""
+    words = [f"w{k}" for k in range(45)]
+    rows = [(1, "\n".join(words)), (2, "\n".join(["own", *words])), (3, "\n".join([*words[3:], "end"])), (3, "\n".join([*words[3:], "end"]))]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("line dedup", "line dedup")
+    try:
+        got = linedup.dedup_lines(frame(spark, rows)).collect()
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert sorted((r.doc_id, r._deleted_lines) for r in got) == [(1, []), (2, list(range(1, 46))), (3, list(range(42))), (3, list(range(42)))]
+    stages = {k for j in tracker.getJobIdsForGroup("line dedup") for k in tracker.getJobInfo(j).stageIds}
+    ran = sum(1 for k in stages if (info := tracker.getStageInfo(k)) and info.numCompletedTasks)
+    assert ran <= 80, ran
+
+
 # op5
 
 
