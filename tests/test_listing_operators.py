@@ -224,3 +224,40 @@ def test_links_are_counted_without_listing_pairs(spark, monkeypatch):
     assert {(r.event_id, r.nightlife_date): r.class_id for r in got} == {(a[0], a[7]): first[(a[5], a[2:5], a[6], a[7])] for a in every}
     pairs = resolve.pairs(slots).collect()  # each once
     assert 2 * sum(r.matched for r in pairs) == sum(r.n_matched for r in got) and 2 * sum(bool(r.near_miss) for r in pairs) == sum(r.n_near for r in got)
+
+
+def test_names_are_compared_along_with_others():
+    """Thousands of names that share words and pieces are not scored pair by pair; each is told as the score tells it."""
+    rng = random.Random(3)
+    words = ["club", "bar", "am", "see", "lido", "lidos", "kultur", "kulturhaus", "ä", "supplier", *map(str, range(30))]
+    names = [
+        *(" ".join(rng.choices(words, k=rng.choice([0, 1, 2, 2, 3, 4, 12]))) for _ in range(90)),
+        *(f"supplier {rng.randrange(600):09d}" for _ in range(90)),
+        *("".join(rng.choices("ab", k=rng.choice([3, 8, 20, 70]))) for _ in range(30)),
+    ]
+    one, two = list(dict.fromkeys(names[::2])), list(dict.fromkeys(names[1::2] + names[:40]))
+    got = links._alike_names(one, two)
+    assert got.tolist() == [[text.token_set(x, y) >= 85 for y in two] for x in one] and 0 < got.mean() < 1
+    many = [f"supplier {k:09d}" for k in range(3000)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(links, "token_set", lambda a, b: pytest.fail("scored one by one"))
+        all_ = links._alike_names(many, many)
+    assert all_.diagonal().all() and (all_ == all_.T).all()
+    assert all(all_[x, y] == (text.token_set(many[x], many[y]) >= 85) for x, y in (rng.choices(range(3000), k=2) for _ in range(2000)))
+
+
+def test_many_names_at_few_places(spark, monkeypatch):
+    """Names that are alike by the hundred are counted as listed pairs are, and make no place of their own."""
+    rng = random.Random(7)
+    rows = [(f"e{k:03d}", rng.choice("ab"), rng.choice([None, None, "x"]), 52.4 + 0.0005 * (k % 9), 13.0 + 0.001 * (k % 9), rng.choice(["big ring", "big ring open", "old nut", "old nuts"]), f"supplier {k % 110:09d}", "2026-01-01", 600 * rng.randrange(9)) for k in range(260)]
+    slots = spark.createDataFrame(rows, "event_id string, source string, venue_id string, lat double, lon double, t string, v string, nightlife_date string, start_s long")
+    want = {r[0]: [0, 0] for r in rows}
+    for r in resolve.pairs(slots).collect():
+        for x in (r.u, r.v):
+            want[x][0] += r.matched
+            want[x][1] += bool(r.near_miss)
+    monkeypatch.setattr(links, "BLOCK", 50)
+    got = links.links(slots).collect()
+    assert {r.event_id: [r.n_matched, r.n_near] for r in got} == want and sum(x for x, _ in want.values()) > 1000
+    coded = slots.select(F.xxhash64("v", "venue_id", "lat", "lon").alias("pid"), F.xxhash64("venue_id", "lat", "lon").alias("sid"), "v", "venue_id", "lat", "lon").distinct()
+    assert links._tight(coded).count() == len({r[2:5] for r in rows})
