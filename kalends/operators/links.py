@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import os
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -28,11 +29,11 @@ from kalends.operators.resolve import CLOSE_M, CLOSE_S, NEAR, TIGHT_M, TITLE, VE
 #: Places of one block; titles that are counted at once; slots whose pairs are looked at, at once; seconds of a group.
 BLOCK, TITLES, PAIRS, BUCKET = 8192, 256, 1_000_000, 3600
 #: Tasks that count titles and places, at least; cells counted at once; letters and shared words of a name that is
-#: compared along with others; so few names are scored one by one; titles whose scores are kept in a table.
-TASKS, CHUNK, LETTERS, SHARED, FEW, TABLE = 16, 2048, 64, 8, 12, 1000
+#: compared along with others; so few names are scored one by one; titles whose likeness is looked up in a table.
+TASKS, CHUNK, LETTERS, SHARED, FEW, TABLE = 16, 2048, 64, 8, 12, 4096
 NIGHT = "nightlife_date"
 #: Stands for a missing source, which is neither the same as another nor another than any.
-NONE = "\1"
+NONE = 0
 
 
 def links(slots: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def links(slots: DataFrame) -> DataFrame:
 
     Links count in both directions: the sum over events is twice the number of pairs. class_id is the smallest event
     with the same title and place in that night. Slots without a title have no row, as ``resolve.pairs`` has none for
-    them. Titles and places are told apart by 64-bit hashes."""
+    them. Titles, places and sources are told apart by 64-bit hashes."""
     placed = F.lit(True)
     for c in ("lat", "lon"):
         placed = placed & (F.coalesce(F.col(c), F.lit(0.0)) != 0)
@@ -48,7 +49,7 @@ def links(slots: DataFrame) -> DataFrame:
     worded = lambda c: F.trim(F.col(c)) != ""
     raw = cut(
         slots.where("t is not null").select(
-            "event_id", NIGHT, "start_s", F.coalesce("source", F.lit(NONE)).alias("source"), "t", "v", "venue_id", "lat", "lon",
+            "event_id", NIGHT, "start_s", F.when(F.col("source").isNull(), NONE).otherwise(F.xxhash64("source")).alias("source"), "t", "v", "venue_id", "lat", "lon",
             F.xxhash64("t").alias("tid"), F.xxhash64("v", "venue_id", "lat", "lon").alias("pid"), F.xxhash64("venue_id", "lat", "lon").alias("sid"),
             F.when(worded("t"), somewhere | F.coalesce(worded("v"), F.lit(False))).otherwise(F.lit(False)).alias("own_a"), (~worded("t") & somewhere).alias("own_b"),
         ),
@@ -65,7 +66,7 @@ def links(slots: DataFrame) -> DataFrame:
     cells = cut(classes.groupBy(NIGHT, "tid", "pid").agg(F.sum("n").alias("n"), F.min("class_id").alias("class_id")), "cells")
     timeless = _products(cells, alike, places)
     others = _other_sources(classes, alike)
-    timed = _close_starts(classes, titles, places)
+    timed = _close_starts(classes, alike, places)
 
     out = classes.drop("n", "class_id", "sid").join(cells.drop("n"), [NIGHT, "tid", "pid"]).join(timeless, [NIGHT, "tid", "pid"], "left")
     out = out.join(others["all"], [NIGHT, "tid"], "left").join(others["same"], [NIGHT, "tid", "source"], "left").join(timed, one, "left")
@@ -416,12 +417,11 @@ def _count_close(rows: pd.DataFrame) -> pd.DataFrame:
     `CLOSE_S` and have no alike title, and those of them in the near-miss band and of another source."""
     kind = rows["kind"].to_numpy()
     slots = rows[kind == 0].sort_values(["sid", "start_s"])
-    name = dict(zip(rows["tid"][kind == 2].astype("int64"), rows["t"][kind == 2]))
     around = dict(zip(rows["sid"][kind == 1].astype("int64"), rows["others"][kind == 1]))
     sid, start, n = (slots[c].to_numpy(np.int64) for c in ("sid", "start_s", "n"))
     tids, title = np.unique(slots["tid"].to_numpy(np.int64), return_inverse=True)
-    named = slots["source"].to_numpy(object) != NONE
-    source = pd.factorize(slots["source"])[0]
+    source = slots["source"].to_numpy(np.int64)
+    look = _likeness(tids, rows[kind == 2])
     sids, place = np.unique(sid, return_inverse=True)
     number = {p: x for x, p in enumerate(sids.tolist())}
     near = [[number[o] for o in around.get(p, ()) if o in number] for p in sids.tolist()]
@@ -437,56 +437,61 @@ def _count_close(rows: pd.DataFrame) -> pd.DataFrame:
     high = np.searchsorted(key, target * span + start[one] - base + CLOSE_S, "right")
     count = high - low
     ends = np.cumsum(count)
-    plain, band, known = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64), {}
-    table = np.full(len(tids) ** 2, np.nan) if len(tids) <= TABLE else None
+    plain, band = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64)
     at = 0
     while at < len(one):
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
         c = count[at:to]
         u = np.repeat(one[at:to], c)
         v = np.repeat(low[at:to] - (np.cumsum(c) - c), c) + np.arange(len(u))
-        code = title[u] * len(tids) + title[v]
-        code, back = (code, None) if table is not None else np.unique(code, return_inverse=True)
-        for x in (code if table is None else np.unique(code[np.isnan(table[code])])).tolist():
-            if x not in known:
-                a, b = divmod(x, len(tids))
-                known[x] = known[b * len(tids) + a] = _score(name[int(tids[a])], name[int(tids[b])])
-            if table is not None:
-                table[x] = known[x]
-        score = table[code] if table is not None else np.array([known[x] for x in code.tolist()])[back] if len(u) else np.zeros(0)
-        free = score < TITLE
+        like = look(title[u], title[v])
+        free = like < 2
         np.add.at(plain, u[free], n[v[free]])
-        mixed = free & (score >= NEAR) & (source[u] != source[v]) & named[u] & named[v]
+        mixed = (like == 1) & (source[u] != source[v]) & (source[u] != NONE) & (source[v] != NONE)
         np.add.at(band, u[mixed], n[v[mixed]])
         at = to
     some = np.flatnonzero(plain)
     out = slots.iloc[some]
-    return pd.DataFrame({"tid": out["tid"].to_numpy(np.int64), "pid": out["pid"].to_numpy(np.int64), "start_s": out["start_s"].to_numpy(np.int64), "source": out["source"].to_numpy(object), "n_timed": plain[some], "n_timed_near": band[some]})
-
-
-_scores: dict[tuple[str, str], float] = {}
-
-
-def _score(a: str, b: str) -> float:
-    """Scores that a task has met lately are not computed again."""
-    if (a, b) not in _scores:
-        if len(_scores) > 500_000:
-            _scores.clear()
-        _scores[a, b] = _scores[b, a] = token_set(a, b)
-    return _scores[a, b]
-
-
-def _close_starts(classes: DataFrame, titles: DataFrame, places: DataFrame) -> DataFrame:
+    return pd.DataFrame({"tid": out["tid"].to_numpy(np.int64), "pid": out["pid"].to_numpy(np.int64), "start_s": out["start_s"].to_numpy(np.int64), "source": out["source"].to_numpy(np.int64), "n_timed": plain[some], "n_timed_near": band[some]})
+
+
+def _likeness(tids: np.ndarray, rows: pd.DataFrame) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """2 for alike titles, 1 for those of the near-miss band, else 0, by their numbers in tids."""
+    number = {t: x for x, t in enumerate(tids.tolist())}
+    codes: list[list[int]] = [[], []]
+    for t, alike, band in zip(rows["tid"].tolist(), rows["others"], rows["band"]):
+        for found, others in zip(codes, (band, alike)):
+            found.extend(number[t] * len(tids) + number[o] for o in others.tolist() if o in number)
+    if len(tids) <= TABLE:
+        table = np.zeros(len(tids) ** 2, np.uint8)
+        for x, found in enumerate(codes, 1):
+            table[found] = x
+        return lambda a, b: table[a * len(tids) + b]
+    code, value = np.array(codes[0] + codes[1], np.int64), np.repeat(np.array([1, 2], np.uint8), list(map(len, codes)))
+    order = np.argsort(code)
+    code, value = np.append(code[order], -1), np.append(value[order], 0)  # the last is met by none
+
+    def look(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a * len(tids) + b
+        at = np.searchsorted(code[:-1], x)
+        return np.where(code[at] == x, value[at], 0)
+
+    return look
+
+
+def _close_starts(classes: DataFrame, alike: DataFrame, places: DataFrame) -> DataFrame:
     """(night, tid, pid, start_s, source, n_timed, n_timed_near) where there are any."""
     hour = lambda d: F.floor((F.col("start_s") + d) / BUCKET)
     dealt = classes.drop("class_id").withColumn("h", F.explode(F.sequence(hour(-CLOSE_S), hour(CLOSE_S)))).withColumn("own", F.col("h") == hour(0))
-    void = {"tid": "long", "pid": "long", "sid": "long", "start_s": "long", "source": "string", "n": "long", "own": "boolean", "others": "array<long>", "t": "string"}
+    void = {"tid": "long", "pid": "long", "sid": "long", "start_s": "long", "source": "long", "n": "long", "own": "boolean", "others": "array<long>", "band": "array<long>"}
     row = lambda df, kind, *has: df.select(NIGHT, "h", F.lit(kind).alias("kind"), *(F.col(c).cast(t).alias(c) if c in has else _blank(t).alias(c) for c, t in void.items()))
     dealt = cut(dealt, "dealt")
+    listed = lambda when, c: F.collect_list(F.when(when, F.col("b"))).alias(c)
+    around = alike.groupBy(F.col("a").alias("tid")).agg(listed(F.col("score") >= TITLE, "others"), listed(F.col("score") < TITLE, "band"))
     rows = (
         row(dealt, 0, "tid", "pid", "sid", "start_s", "source", "n", "own")
         .unionByName(row(dealt.where("own").select(NIGHT, "h", "sid").distinct().join(_tight(places), "sid"), 1, "sid", "others"))
-        .unionByName(row(dealt.select(NIGHT, "h", "tid").distinct().join(titles, "tid"), 2, "tid", "t"))
+        .unionByName(row(dealt.select(NIGHT, "h", "tid").distinct().join(around, "tid"), 2, "tid", "others", "band"))
     )
     kind = classes.schema[NIGHT].dataType.simpleString()
 
@@ -495,6 +500,6 @@ def _close_starts(classes: DataFrame, titles: DataFrame, places: DataFrame) -> D
         out.insert(0, NIGHT, key[0])
         return out
 
-    timed = cut(rows.groupBy(NIGHT, "h").applyInPandas(run, f"{NIGHT} {kind}, tid long, pid long, start_s long, source string, n_timed long, n_timed_near long"), "timed")
+    timed = cut(rows.groupBy(NIGHT, "h").applyInPandas(run, f"{NIGHT} {kind}, tid long, pid long, start_s long, source long, n_timed long, n_timed_near long"), "timed")
     forget(timed.sparkSession, dealt)
     return timed
